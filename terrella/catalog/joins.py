@@ -33,7 +33,7 @@ def join_inner_broadcast(t):
 def join_shuffle_merge(t):
     items = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_partkey", "l_extendedprice")
     orders = t.orders.select(F.col("o_orderkey").alias("orderkey"), "o_custkey", "o_totalprice")
-    return ops.shuffle_join(items, orders, ["orderkey"], ["l_partkey", "l_linenumber"])
+    return ops.shuffle_join(items, orders, ["orderkey"])
 
 
 @query(
@@ -43,7 +43,7 @@ def join_shuffle_merge(t):
 )
 def join_shuffle_fraction(t):
     left, right = merge_tables(t)
-    return ops.shuffle_join(left, right, ["key"], ["left_value"])
+    return ops.shuffle_join(left, right, ["key"])
 
 
 @query(

@@ -29,15 +29,16 @@ def drop_types(df: DataFrame, *types: type[T.DataType]) -> DataFrame:
 
 def downcast_numeric(df: DataFrame) -> DataFrame:
     """64-bit integers and floats to 32 bits; integers that do not fit become null."""
-    narrow = {T.LongType: "int", T.DoubleType: "float"}
-    return df.select(
-        *[
-            F.col(f.name).try_cast(narrow[type(f.dataType)]).alias(f.name)
-            if type(f.dataType) in narrow
-            else F.col(f.name)
-            for f in df.schema
-        ]
-    )
+
+    def narrow(field: T.StructField) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.LongType):
+            column = column.try_cast("int")
+        elif isinstance(field.dataType, T.DoubleType):
+            column = column.cast("float")
+        return column.alias(field.name)
+
+    return df.select(*[narrow(f) for f in df.schema])
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -51,8 +52,8 @@ def fill_sentinel(df: DataFrame, value: int = -1) -> DataFrame:
     def filled(field: T.StructField) -> Column:
         column = F.col(field.name)
         if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-            present = F.nanvl(column, F.lit(None))
-            return F.coalesce(present, F.lit(value)).cast(field.dataType)
+            present = F.nanvl(column, F.lit(None).cast(field.dataType))
+            return F.coalesce(present, F.lit(value).cast(field.dataType))
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             moment = F.timestamp_millis(F.lit(value)).cast(field.dataType)
             return F.coalesce(column, moment)

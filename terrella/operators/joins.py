@@ -32,15 +32,13 @@ def lookup_join(
     return facts.join(broadcast_if_small(lookup, max_rows), list(on))
 
 
-def shuffle_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str], **heavy_options
-) -> DataFrame:
-    """Inner equi-join of two large tables; heavy left keys are salted.
+def shuffle_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner equi-join of two large tables.
 
     The merge hint keeps either side from being broadcast whatever its
-    estimated size.
+    estimated size. Heavy keys are split by adaptive execution at run time.
     """
-    return salted_join(left, right.hint("merge"), on, spread, **heavy_options)
+    return left.join(right.hint("merge"), list(on))
 
 
 def near_centers(
@@ -76,49 +74,46 @@ class _SphereCells:
     """
 
     def __init__(self, radius_km: float):
-        self.angle = radius_km / EARTH_RADIUS_KM
+        angle = radius_km / EARTH_RADIUS_KM
         # A hair more than the radius, so rounding cannot push a pair further apart.
-        self.height = math.degrees(self.angle) * (1 + 1e-9)
-
-    def band(self, lat: Column) -> Column:
-        return F.floor((lat + 90.0) / self.height)
-
-    def reach(self, band: Column) -> Column:
-        """Largest longitude gap, in degrees, between a point of ``band`` and a near one."""
-        edge = F.greatest(
-            F.abs((band - 1) * self.height - 90.0), F.abs((band + 2) * self.height - 90.0)
+        height = math.degrees(angle) * (1 + 1e-9)
+        self.band = f"cast(floor((lat + 90) / {height!r}D) as bigint)"
+        # Latitude nearest to a pole that a point within the radius of the band can have.
+        edge = f"greatest(abs((_band - 1) * {height!r}D - 90), abs((_band + 2) * {height!r}D - 90))"
+        ratio = f"{math.sin(min(angle, math.pi / 2))!r}D / cos(radians({edge}))"
+        close = str(angle < math.pi / 2).lower()
+        # Largest longitude gap between a point of the band and a near one.
+        self.reach = (
+            f"case when {close} and {edge} < 90 and {ratio} < 1 "
+            f"then degrees(asin({ratio})) * (1 + 1e-9D) else 180D end"
+        )
+        self.count = "greatest(1L, cast(floor(360 / _reach) as bigint))"
+
+    def _sized(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("_reach", F.expr(self.reach)).withColumn("_count", F.expr(self.count))
+
+    def home(self, df: DataFrame) -> DataFrame:
+        """Add the one cell each point belongs to."""
+        sized = self._sized(df.withColumn("_band", F.expr(self.band)))
+        cell = F.expr("pmod(cast(floor((lon + 180) / (360 / _count)) as bigint), _count)")
+        return sized.withColumn("_cell", cell).drop("_reach", "_count")
+
+    def touching(self, df: DataFrame) -> DataFrame:
+        """One row for each cell that may hold a point within the radius."""
+        near = F.expr(f"explode(sequence({self.band} - 1, {self.band} + 1))")
+        sized = self._sized(df.withColumn("_band", near))
+        sized = sized.withColumns(
+            {
+                "_first": F.expr("cast(floor((lon + 180 - _reach) / (360 / _count)) as bigint)"),
+                "_last": F.expr("cast(floor((lon + 180 + _reach) / (360 / _count)) as bigint)"),
+            }
+        )
+        run = F.expr("explode(sequence(_first, least(_last, _first + _count - 1)))")
+        return (
+            sized.withColumn("_at", run)
+            .withColumn("_cell", F.expr("pmod(_at, _count)"))
+            .drop("_reach", "_count", "_first", "_last", "_at")
         )
-        ratio = F.lit(math.sin(min(self.angle, math.pi / 2))) / F.cos(F.radians(edge))
-        fits = (edge < 90.0) & (ratio < 1.0) & F.lit(self.angle < math.pi / 2)
-        return F.when(fits, F.degrees(F.asin(ratio)) * (1 + 1e-9)).otherwise(F.lit(180.0))
-
-    def cells_in(self, band: Column) -> Column:
-        return F.greatest(F.lit(1), F.floor(360.0 / self.reach(band)))
-
-    def cell(self, lon: Column, band: Column) -> Column:
-        count = self.cells_in(band)
-        return F.pmod(F.floor((lon + 180.0) / (360.0 / count)), count)
-
-    def home(self, lon: Column, lat: Column) -> Column:
-        """The one cell a point belongs to."""
-        band = self.band(lat)
-        return F.struct(band.alias("_band"), self.cell(lon, band).alias("_cell"))
-
-    def touching(self, lon: Column, lat: Column) -> Column:
-        """Every cell that may hold a point within the radius."""
-
-        def around(band: Column) -> Column:
-            count = self.cells_in(band)
-            width = 360.0 / count
-            first = F.floor((lon + 180.0 - self.reach(band)) / width)
-            last = F.floor((lon + 180.0 + self.reach(band)) / width)
-            run = F.sequence(first, F.least(last, first + count - 1))
-            return F.transform(
-                run, lambda c: F.struct(band.alias("_band"), F.pmod(c, count).alias("_cell"))
-            )
-
-        home = self.band(lat)
-        return F.concat(around(home - 1), around(home), around(home + 1))
 
 
 def within_radius(
@@ -127,7 +122,7 @@ def within_radius(
     radius_km: float,
     keep: Column | None = None,
     id_column: str = "id",
-    **heavy_options,
+    task_rows: int = 20_000,
 ) -> DataFrame:
     """Pairs of points at most ``radius_km`` apart, from two tables of any size.
 
@@ -137,17 +132,15 @@ def within_radius(
     ``keep`` is a further condition on ``id1`` and ``id2``.
     """
     cells = _SphereCells(radius_km)
-    one = left.select(
-        F.col(id_column).alias("id1"), F.col("lon").alias("_lon1"), F.col("lat").alias("_lat1")
-    ).withColumn("_home", cells.home(F.col("_lon1"), F.col("_lat1")))
-    one = one.select("*", "_home.*").drop("_home")
-    two = right.select(
-        F.col(id_column).alias("id2"),
-        F.col("lon").alias("_lon2"),
-        F.col("lat").alias("_lat2"),
-        F.inline(cells.touching(F.col("lon"), F.col("lat"))),
+    one = cells.home(left.select(F.col(id_column).alias("id1"), "lon", "lat"))
+    two = cells.touching(right.select(F.col(id_column).alias("id2"), "lon", "lat"))
+    pairs = salted_join(
+        one.withColumnsRenamed({"lon": "_lon1", "lat": "_lat1"}),
+        two.withColumnsRenamed({"lon": "_lon2", "lat": "_lat2"}),
+        ["_band", "_cell"],
+        ["id1"],
+        task_rows,
     )
-    pairs = salted_join(one, two, ["_band", "_cell"], ["id1"], **heavy_options)
     if keep is not None:
         pairs = pairs.filter(keep)
     distance = haversine_km(F.col("_lon1"), F.col("_lat1"), F.col("_lon2"), F.col("_lat2"))
@@ -158,10 +151,12 @@ def within_radius(
     )
 
 
-def fixed_radius_pairs(points: DataFrame, radius_km: float, id_column: str = "id", **heavy_options) -> DataFrame:
+def fixed_radius_pairs(
+    points: DataFrame, radius_km: float, id_column: str = "id", task_rows: int = 20_000
+) -> DataFrame:
     """Each unordered pair of points at most ``radius_km`` apart, once, smaller id first."""
     return within_radius(
-        points, points, radius_km, F.col("id1") < F.col("id2"), id_column, **heavy_options
+        points, points, radius_km, F.col("id1") < F.col("id2"), id_column, task_rows
     )
 
 
@@ -170,7 +165,7 @@ def broadcast_scalar(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, one_row.scalar())
 
 
-def matmul(a: DataFrame, b: DataFrame, **heavy_options) -> DataFrame:
+def matmul(a: DataFrame, b: DataFrame, task_rows: int = 100_000) -> DataFrame:
     """Product of two sparse matrices, ``a(i, k, v)`` and ``b(k, j, v)``, as (i, j, v).
 
     Products are summed on the map side before the shuffle on (i, j); a column
@@ -178,5 +173,5 @@ def matmul(a: DataFrame, b: DataFrame, **heavy_options) -> DataFrame:
     """
     left = a.select("i", "k", F.col("v").alias("_a"))
     right = b.select("k", "j", F.col("v").alias("_b"))
-    joined = salted_join(left, right, ["k"], ["i"], **heavy_options)
+    joined = salted_join(left, right, ["k"], ["i"], task_rows)
     return joined.groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))

@@ -131,8 +131,8 @@ def logistic_derivatives(df: DataFrame, margin: str, label: str) -> DataFrame:
 
 def class_means(df: DataFrame, vector: str, label: str, width: int) -> DataFrame:
     """Mean vector of each class."""
-    means = F.array(*[F.avg(F.get(F.col(vector), F.lit(j)).cast("double")) for j in range(width)])
-    return df.groupBy(label).agg(means.alias("center"))
+    means = ", ".join(f"avg(cast({vector}[{j}] as double))" for j in range(width))
+    return df.groupBy(label).agg(F.expr(f"array({means})").alias("center"))
 
 
 def nearest_center(df: DataFrame, vector: str, centers: DataFrame, center: str = "center") -> DataFrame:

@@ -10,18 +10,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrella.operators.skew import split_heavy
 
 #: Upper bound for the number of chunks a group, or a whole table, is cut into.
-CHUNKS = 1024
+CHUNKS = 4096
 CHUNK = "_chunk"
 
 
-def quantile_chunks(df: DataFrame, by: str, chunks: int = CHUNKS) -> DataFrame:
+def chunk_count(spark: SparkSession) -> int:
+    """A power of two, about four chunks per shuffle partition of the session."""
+    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(CHUNKS, 1 << max(3, wanted.bit_length() - 1))
+
+
+def quantile_chunks(df: DataFrame, by: str, chunks: int | None = None) -> DataFrame:
     """Add ``_chunk``: the quantile range of the numeric or time column ``by``."""
+    chunks = chunks or chunk_count(df.sparkSession)
     value = F.col(by)
     if dict(df.dtypes)[by].startswith(("timestamp", "date")):
         value = F.unix_micros(value.cast("timestamp"))
@@ -37,10 +44,12 @@ def quantile_chunks(df: DataFrame, by: str, chunks: int = CHUNKS) -> DataFrame:
     return cutter.transform(ranged).withColumn(CHUNK, chunk).drop("_by", "_b")
 
 
-def hash_chunks(hash_column: Column, chunks: int = CHUNKS) -> Column:
-    """Chunk of a 64-bit hash, rising with the hash, all chunks about equal."""
-    width = (1 << 64) // chunks
-    return (F.shiftright(hash_column, width.bit_length() - 1) + chunks // 2).cast("int")
+def hash_chunks(hash_column: Column, chunks: int) -> Column:
+    """Chunk of a 64-bit hash, rising with the hash, all about equal.
+
+    ``chunks`` is a power of two: the chunk is the top bits of the hash.
+    """
+    return (F.shiftright(hash_column, 65 - chunks.bit_length()) + chunks // 2).cast("int")
 
 
 def running_offsets(totals: DataFrame, amount: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -1,10 +1,9 @@
-"""Finding heavy keys and joining or ranking around them.
+"""Finding heavy keys, and joining or ranking around them.
 
-A key is *heavy* when it holds more than ``share`` of all rows, so there are
-at most ``1 / share`` heavy keys whatever the data size. That bound is what
-makes it safe to list them on the driver and to broadcast the list. The list
-only steers how rows are spread; a missed or a needless key never changes a
-result.
+A key is *heavy* when it holds more rows than one task handles well. The list
+of heavy keys only steers how rows are spread: a missed or a needless key never
+changes a result, so the list can be cut to the ``MAX_KEYS`` heaviest, which
+makes it safe to broadcast.
 """
 
 from __future__ import annotations
@@ -13,49 +12,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SHARE = 1e-3
+#: Rows of one key that a single task handles well.
+TASK_ROWS = 1_000_000
+#: Longest list of heavy keys.
+MAX_KEYS = 100_000
 SAMPLE_FRACTION = 0.01
-#: A sampled key needs this many hits before it counts as heavy.
-MIN_HITS = 20
-SALTS_COLUMN = "_salts"
 
 
-def heavy_keys(
+def _heaviest(df: DataFrame, keys: Sequence[str], rows: float) -> DataFrame:
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= rows)
+    return counts.orderBy(F.desc("_rows"), *keys).limit(MAX_KEYS)
+
+
+def split_heavy(
     df: DataFrame,
     keys: Sequence[str],
-    share: float = SHARE,
+    task_rows: int = TASK_ROWS,
     sample_fraction: float = SAMPLE_FRACTION,
-) -> DataFrame | None:
-    """Heavy keys with the number of salts each needs, or None when there are none.
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary groups, and rows of heavy groups if there are any.
 
-    Counting runs on a sample of the key columns only.
+    A small job counts a sample of the key columns, so that tables without
+    heavy groups keep their plain plan.
     """
     keys = list(keys)
-    counts = df.select(*keys).dropna().sample(fraction=sample_fraction, seed=17).groupBy(*keys)
-    counts = counts.agg(F.count("*").alias("_hits"))
-    total = counts.agg(F.coalesce(F.sum("_hits"), F.lit(0)).alias("t"))
-    floor = F.greatest(F.lit(MIN_HITS), share * F.col("_total"))
-    rows = (
-        counts.withColumn("_total", total.scalar())
-        .filter(F.col("_hits") >= floor)
-        .select(*keys, F.ceil(F.col("_hits") / (share * F.col("_total"))).cast("int").alias(SALTS_COLUMN))
-        .collect()
-    )
-    if not rows:
-        return None
-    schema = df.select(*keys).schema.add(SALTS_COLUMN, T.IntegerType())
-    return df.sparkSession.createDataFrame(rows, schema)
-
-
-def split_heavy(df: DataFrame, keys: Sequence[str], **options) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary groups, and rows of heavy groups if there are any."""
-    heavy = heavy_keys(df, keys, **options)
-    if heavy is None:
+    sampled = df.select(*keys).dropna().sample(fraction=sample_fraction, seed=17)
+    found = _heaviest(sampled, keys, max(1.0, task_rows * sample_fraction)).drop("_rows").collect()
+    if not found:
         return df, None
-    listed = F.broadcast(heavy.drop(SALTS_COLUMN))
-    return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi")
+    listed = F.broadcast(df.sparkSession.createDataFrame(found, df.select(*keys).schema))
+    return df.join(listed, keys, "left_anti"), df.join(listed, keys, "left_semi")
 
 
 def salted_join(
@@ -63,27 +50,29 @@ def salted_join(
     right: DataFrame,
     on: Sequence[str],
     spread: Sequence[str],
-    **options,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Inner equi-join in which each heavy key of ``left`` is cut into salts.
 
+    For joins whose work grows with the product of both sides of a key; the
+    skew handling of adaptive execution looks at bytes only. Keys are counted
+    inside the same plan, where Spark reuses any shuffle ``left`` comes from.
+
     ``spread`` names left columns that differ between rows of one key. Their
     hash, mixed with the number of the partition the row sits in, picks the
     salt: a retried task picks the same one, and full copies of a row still
     spread as they come from many partitions. Right rows of a heavy key are
-    copied once per salt. Without heavy keys this is a plain join.
+    copied once per salt.
     """
     on = list(on)
-    heavy = heavy_keys(left, on, **options)
-    if heavy is None:
-        return left.join(right, on)
-    listed = F.broadcast(heavy)
-    salts = F.coalesce(F.col(SALTS_COLUMN), F.lit(1))
-    salted_left = left.join(listed, on, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *spread), salts).cast("int")
+    salts = F.ceil(F.col("_rows") / task_rows).cast("int").alias("_salts")
+    heavy = F.broadcast(_heaviest(left, on, task_rows).select(*on, salts))
+    count = F.coalesce(F.col("_salts"), F.lit(1))
+    salted_left = left.join(heavy, on, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *spread), count).cast("int")
     )
-    salted_right = right.join(listed, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
+    salted_right = right.join(heavy, on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), count - 1))
     )
-    joined = salted_left.drop(SALTS_COLUMN).join(salted_right.drop(SALTS_COLUMN), [*on, "_salt"])
+    joined = salted_left.drop("_salts").join(salted_right.drop("_salts"), [*on, "_salt"])
     return joined.drop("_salt")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terrella.operators.positions import (
     CHUNK,
+    chunk_count,
     hash_chunks,
     number_chunked,
     number_in_group,
@@ -127,7 +128,7 @@ def epoch_shards(df: DataFrame, id_column: str, epoch: int, shards: int) -> Data
     inside the shard.
     """
     mixed = df.withColumn("_mix", F.xxhash64(id_column, F.lit(epoch)))
-    mixed = mixed.withColumn(CHUNK, hash_chunks(F.col("_mix")))
+    mixed = mixed.withColumn(CHUNK, hash_chunks(F.col("_mix"), chunk_count(df.sparkSession)))
     numbered = number_chunked(mixed, ["_mix", id_column], "_position", size="_size")
     padded = F.ceil(F.col("_size") / shards) * shards
     places = F.sequence(F.col("_position"), padded - 1, F.col("_size"))
