@@ -51,8 +51,9 @@ def midpoint_integral(cells: DataFrame, index: str, count: Column, out: str = "i
 
     ``index`` numbers the rows from 0; ``count`` is their number.
     """
-    x = (F.col(index) + 0.5) / count
-    return cells.agg(F.sum(4.0 / (1.0 + x * x) / count).alias(out))
+    points = cells.select(((F.col(index) + 0.5) / count).alias("x"), (1.0 / count).alias("step"))
+    x = F.col("x")
+    return points.agg(F.sum(4.0 / (1.0 + x * x) * F.col("step")).alias(out))
 
 
 def with_total(df: DataFrame, value: str, out: str = "total") -> DataFrame:

@@ -4,32 +4,47 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrella.functions.geo import EARTH_RADIUS_KM, haversine_km
 from terrella.operators.skew import salted_join
 
-#: A side with at most this many rows may be broadcast.
-BROADCAST_ROWS = 500_000
+#: A side may be broadcast when its rows take at most this many bytes.
+BROADCAST_BYTES = 64 << 20
+_FIELD_BYTES = 16
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the table is small.
+def _extra_bytes(field: T.StructField) -> Column | None:
+    """Bytes of one value beyond the fixed part, for types without a fixed size."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(column)))
+    return None
 
-    The count reads no columns and stops at ``max_rows + 1`` rows. A larger
-    table is returned without a hint, and Spark picks a shuffle join.
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring that the table is small.
+
+    One distributed aggregate adds up the bytes. A larger table is returned
+    without a hint, and Spark picks a shuffle join.
     """
-    rows = df.select(F.lit(1)).limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    extras = [e for e in map(_extra_bytes, df.schema) if e is not None]
+    width = reduce(lambda a, b: a + b, extras, F.lit(_FIELD_BYTES * len(df.columns)))
+    measured = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+    return F.broadcast(df) if measured <= max_bytes else df
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS
+    facts: DataFrame, lookup: DataFrame, on: Sequence[str], max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Inner equi-join with a usually small side."""
-    return facts.join(broadcast_if_small(lookup, max_rows), list(on))
+    return facts.join(broadcast_if_small(lookup, max_bytes), list(on))
 
 
 def shuffle_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

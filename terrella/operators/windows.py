@@ -45,15 +45,14 @@ def balanced_blocks(
 def block_offsets(df: DataFrame, owner: str, out: str = "offset") -> DataFrame:
     """Rows per owner and the number of rows of all owners before it: (owner, n, offset).
 
-    Counting comes first; the counts, one per owner, are summed up over
+    Counting comes first. The counts, one per owner, are summed up over
     quantile ranges of the owner, so any number of owners works.
     """
-    counts = df.groupBy(owner).agg(F.count("*").alias("n"))
-    ranged = quantile_chunks(counts, owner)
-    offsets = running_offsets(ranged.groupBy(CHUNK).agg(F.sum("n").alias("n")), "n")
+    counts = quantile_chunks(df.select(owner), owner).groupBy(CHUNK, owner).agg(F.count("*").alias("n"))
+    offsets = running_offsets(counts.groupBy(CHUNK).agg(F.sum("n").alias("n")), "n")
     earlier = Window.partitionBy(CHUNK).orderBy(owner).rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    placed = ranged.withColumn("_inside", inside).join(F.broadcast(offsets), CHUNK)
+    placed = counts.withColumn("_inside", inside).join(F.broadcast(offsets), CHUNK)
     return placed.select(owner, "n", (F.col("_inside") + F.col("_before")).alias(out))
 
 

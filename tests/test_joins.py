@@ -85,15 +85,21 @@ def test_salts_reach_many_tasks(spark):
 
 
 def test_broadcast_only_below_the_bound(spark):
-    small = spark.range(10)
-    assert "broadcast" in joins.broadcast_if_small(small, 10)._jdf.queryExecution().toString()
-    assert "broadcast" not in joins.broadcast_if_small(small, 9)._jdf.queryExecution().toString()
+    def hinted(df, max_bytes):
+        return "broadcast" in joins.broadcast_if_small(df, max_bytes)._jdf.queryExecution().logical().toString()
+
+    assert hinted(spark.range(10), 160) and not hinted(spark.range(10), 159)
+    # Long texts and arrays count with what they hold.
+    texts = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert hinted(texts, 10_160) and not hinted(texts, 10_000)
+    arrays = spark.range(10).select(F.sequence(F.lit(1), F.lit(500)).alias("a"))
+    assert not hinted(arrays, 10_000)
 
 
 def test_lookup_join_result_does_not_depend_on_the_bound(spark):
     facts = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
     lookup = spark.range(5).select(F.col("id").alias("k"), F.lit("x").alias("s"))
-    few = joins.lookup_join(facts, lookup, ["k"], max_rows=1)
+    few = joins.lookup_join(facts, lookup, ["k"], max_bytes=1)
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, joins.lookup_join(facts, lookup, ["k"]).collect()))
 
 
