@@ -1 +1,9 @@
 """Table operators for scientific and urban data, written for Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers carry their code with them, so the package
+# need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -140,43 +140,47 @@ def epoch_shards(df: DataFrame, id_column: str, epoch: int, shards: int) -> Data
 
 
 def focal_mean(
-    cells: DataFrame, sweeps: int = 1, checkpoint_every: int = 4
+    cells: DataFrame, sweeps: int = 1, checkpoint_every: int = 4, tile: int = 64
 ) -> DataFrame:
     """Replace each inner cell by the mean of its four neighbours, ``sweeps`` times.
 
-    ``cells`` has (i, j, v, is_border); border cells keep their value. Each
-    sweep sends a cell's value to its neighbours and sums by target cell. Long
-    runs are cut by reliable checkpoints.
+    ``cells`` has (i, j, v, is_border); border cells keep their value. The grid
+    is cut into square tiles. A sweep shuffles each cell to its own tile, and
+    cells on a tile's rim also to the tile next door; the sums over neighbours
+    then need no further shuffle. Long runs are cut by reliable checkpoints.
     """
     for sweep in range(1, sweeps + 1):
-        cells = _sweep(cells)
+        cells = _sweep(cells, tile)
         if sweep % checkpoint_every == 0 and sweep < sweeps:
             ensure_checkpoint_dir(cells.sparkSession)
             cells = cells.checkpoint()
     return cells
 
 
-def _sweep(cells: DataFrame) -> DataFrame:
-    i, j, v = F.col("i"), F.col("j"), F.col("v")
+def _tile_of(i: Column, j: Column, tile: int) -> Column:
+    return F.struct(F.floor(i / tile).alias("_ti"), F.floor(j / tile).alias("_tj"))
 
-    def sent(to_i: Column, to_j: Column) -> Column:
-        nothing = F.lit(None)
-        return F.struct(
-            to_i.alias("i"),
-            to_j.alias("j"),
-            v.alias("part"),
-            nothing.cast("double").alias("own"),
-            nothing.cast("boolean").alias("is_border"),
-        )
 
-    own = F.struct(
-        i.alias("i"), j.alias("j"), F.lit(None).cast("double").alias("part"),
-        v.alias("own"), F.col("is_border").alias("is_border"),
-    )
-    messages = F.array(own, sent(i - 1, j), sent(i + 1, j), sent(i, j - 1), sent(i, j + 1))
+def _sweep(cells: DataFrame, tile: int) -> DataFrame:
+    i, j, v = F.col("i"), F.col("j"), F.col("v")
+    sides = [(i - 1, j), (i + 1, j), (i, j - 1), (i, j + 1)]
+    tiles = F.array_distinct(F.array(*[_tile_of(a, b, tile) for a, b in [(i, j), *sides]]))
+    placed = cells.select("*", F.inline(tiles)).repartition("_ti", "_tj")
+
+    nothing = F.lit(None)
+    own = F.struct(i, j, nothing.cast("double").alias("part"), v.alias("own"), F.col("is_border"))
+    sent = [
+        F.struct(
+            a.alias("i"), b.alias("j"), v.alias("part"),
+            nothing.cast("double").alias("own"), nothing.cast("boolean").alias("is_border"),
+        )
+        for a, b in sides
+    ]
+    here = F.struct("_ti", "_tj")
     met = (
-        cells.select(F.inline(messages))
-        .groupBy("i", "j")
+        placed.select("_ti", "_tj", F.inline(F.array(own, *sent)))
+        .filter(_tile_of(F.col("i"), F.col("j"), tile) == here)
+        .groupBy("_ti", "_tj", "i", "j")
         .agg(
             F.sum("part").alias("parts"),
             F.max("own").alias("own"),

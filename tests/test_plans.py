@@ -78,3 +78,7 @@ def test_small_side_is_broadcast(spark):
 
 def test_aggregates_combine_before_the_shuffle(spark):
     assert "partial_avg" in plan(QUERIES["group_mean"](spark, DATA))
+
+
+def test_a_sweep_shuffles_once(spark):
+    assert plan(QUERIES["focal_mean"](spark, DATA)).count("Exchange hashpartitioning") == 1

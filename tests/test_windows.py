@@ -98,13 +98,14 @@ def reference_sweeps(grid, sweeps):
     return grid
 
 
-def test_focal_mean_many_sweeps(spark):
+@pytest.mark.parametrize("tile", [64, 3, 1])
+def test_focal_mean_many_sweeps(spark, tile):
     grid = [[float((i * 31 + j * 17) % 100) for j in range(9)] for i in range(7)]
     cells = spark.createDataFrame(
         [(i, j, v, i in (0, 6) or j in (0, 8)) for i, row in enumerate(grid) for j, v in enumerate(row)],
         "i INT, j INT, v DOUBLE, is_border BOOLEAN",
     )
-    got = windows.focal_mean(cells, sweeps=5, checkpoint_every=2)
+    got = windows.focal_mean(cells, sweeps=5, checkpoint_every=2, tile=tile)
     want = reference_sweeps(grid, 5)
     assert got.count() == 63
     assert all(abs(r["v"] - want[r["i"]][r["j"]]) < 1e-9 for r in got.collect())
