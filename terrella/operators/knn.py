@@ -11,7 +11,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,50 +21,42 @@ QUERY_BYTES = 64 << 20
 QUERY_BLOCK = 4096
 #: Index rows per block when both sides are blocked.
 INDEX_BLOCK = 32_768
-#: Distances held at once inside a task.
-_TILE = 4 << 20
+#: Queries and index rows compared at once inside a task.
+_TILE_QUERIES = 128
+_TILE_ROWS = 4096
 
 _CANDIDATES = "query_id long, index_id long, distance double"
+_NAMES = ["query_id", "index_id", "distance"]
+_EMPTY = pa.table([pa.array([], kind) for kind in (pa.int64(), pa.int64(), pa.float64())], _NAMES)
 
 
 class _Best:
-    """The k best index rows seen so far for each query, in long form."""
+    """The k best index rows seen so far for a few queries, in long form."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.ids, self.vectors, self.k = ids, vectors, k
         self.norms = (vectors * vectors).sum(axis=1)
+        # |q - x|^2 = -2 q.x + |x|^2 + |q|^2 as one product of widened rows.
+        self.wide = np.column_stack([-2.0 * vectors, np.ones(len(ids)), self.norms])
         self.limit = np.full(len(ids), np.inf)  # squared distance of the k-th best
         self.query = np.empty(0, np.int64)  # position in ``ids``
         self.index = np.empty(0, np.int64)
         self.distance = np.empty(0)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        norms = (vectors * vectors).sum(axis=1)
-        step = max(1, _TILE // len(ids))
-        hits = [
-            self._candidates(slice(at, at + step), vectors, norms)
-            for at in range(0, len(self.ids), step)
-        ]
-        query = np.concatenate([q for q, _ in hits])
-        row = np.concatenate([r for _, r in hits])
-        distance = np.empty(len(query))
-        width = max(1, _TILE // max(1, vectors.shape[1]))
-        for at in range(0, len(query), width):
-            part = slice(at, at + width)
-            gaps = vectors[row[part]] - self.vectors[query[part]]
-            distance[part] = np.sqrt((gaps * gaps).sum(axis=1))
-        self._merge(query, ids[row], distance)
-
-    def _candidates(self, part: slice, vectors: np.ndarray, norms: np.ndarray):
-        rough = self.norms[part, None] + norms[None, :] - 2.0 * (self.vectors[part] @ vectors.T)
-        bound = self.limit[part]
-        if len(norms) > self.k:
-            bound = np.minimum(bound, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
+    def add(self, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray, wide: np.ndarray) -> None:
+        rough = self.wide @ wide
         # The product form rounds; whatever rounding could have moved past the
         # k-th stays in, and its distance is then computed directly.
-        slack = 1e-9 * (1.0 + self.norms[part] + norms.max())
-        query, row = np.nonzero(rough <= (bound + slack)[:, None])
-        return query + part.start, row
+        slack = 1e-9 * (1.0 + self.norms + norms.max())
+        near = rough <= (self.limit + slack)[:, None]
+        if len(ids) > self.k and np.count_nonzero(near) > 16 * self.k * len(self.ids):
+            bound = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
+            near &= rough <= (bound + slack)[:, None]
+        query, row = np.nonzero(near)
+        if len(query) == 0:
+            return
+        gaps = vectors[row] - self.vectors[query]
+        self._merge(query, ids[row], np.sqrt((gaps * gaps).sum(axis=1)))
 
     def _merge(self, query: np.ndarray, index: np.ndarray, distance: np.ndarray) -> None:
         query = np.concatenate([self.query, query])
@@ -72,21 +64,46 @@ class _Best:
         distance = np.concatenate([self.distance, distance])
         order = np.lexsort((index, distance, query))
         query, index, distance = query[order], index[order], distance[order]
-        first = np.searchsorted(query, query, side="left")
-        rank = np.arange(len(query)) - first
+        rank = np.arange(len(query)) - np.searchsorted(query, query, side="left")
         kept = rank < self.k
         self.query, self.index, self.distance = query[kept], index[kept], distance[kept]
         last = rank[kept] == self.k - 1
         self.limit[self.query[last]] = self.distance[last] ** 2
 
-    def frame(self) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"query_id": self.ids[self.query], "index_id": self.index, "distance": self.distance}
-        )
+
+class _Search:
+    """Best rows of all queries of a task, worked on tile by tile.
+
+    A tile bounds the memory even when many rows are equally near.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+        cuts = range(0, len(ids), _TILE_QUERIES)
+        self.parts = [_Best(ids[c : c + _TILE_QUERIES], vectors[c : c + _TILE_QUERIES], k) for c in cuts]
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        for cut in range(0, len(ids), _TILE_ROWS):
+            some, rows = ids[cut : cut + _TILE_ROWS], vectors[cut : cut + _TILE_ROWS]
+            norms = (rows * rows).sum(axis=1)
+            wide = np.column_stack([rows, norms, np.ones(len(some))]).T
+            for part in self.parts:
+                part.add(some, rows, norms, wide)
+
+    def columns(self) -> list[pa.Array]:
+        columns = [(part.ids[part.query], part.index, part.distance) for part in self.parts]
+        return [pa.array(np.concatenate(column)) for column in zip(*columns)]
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
+def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of equally long lists as one matrix."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(vectors), -1)
+
+
+def _ids(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.asarray(ids, dtype=np.int64)
 
 
 def _as_vectors(df: DataFrame, id_column: str, vector: str) -> DataFrame:
@@ -95,21 +112,19 @@ def _as_vectors(df: DataFrame, id_column: str, vector: str) -> DataFrame:
 
 def _scan_with_queries(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """One pass over the index with all queries in each task."""
-    table = queries.toPandas()
-    if table.empty:
+    table = queries.toArrow()
+    if table.num_rows == 0:
         return index.sparkSession.createDataFrame([], _CANDIDATES)
-    shipped = index.sparkSession.sparkContext.broadcast(
-        (table["id"].to_numpy(np.int64), _matrix(table["v"]))
-    )
+    shipped = index.sparkSession.sparkContext.broadcast((_ids(table["id"]), _matrix(table["v"])))
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = _Best(*shipped.value, k)
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = _Search(*shipped.value, k)
         for batch in batches:
-            if len(batch):
-                best.add(batch["id"].to_numpy(np.int64), _matrix(batch["v"]))
-        yield best.frame()
+            if batch.num_rows:
+                best.add(_ids(batch["id"]), _matrix(batch["v"]))
+        yield pa.RecordBatch.from_arrays(best.columns(), _NAMES)
 
-    return index.mapInPandas(scan, _CANDIDATES)
+    return index.mapInArrow(scan, _CANDIDATES)
 
 
 def _block_by_block(index: DataFrame, queries: DataFrame, k: int, index_rows: int, query_rows: int) -> DataFrame:
@@ -130,14 +145,14 @@ def _block_by_block(index: DataFrame, queries: DataFrame, k: int, index_rows: in
     left = index.select("id", "v", block(index_blocks).alias("ib"), every(query_blocks).alias("qb"))
     right = queries.select("id", "v", every(index_blocks).alias("ib"), block(query_blocks).alias("qb"))
 
-    def meet(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or asked.empty:
-            return pd.DataFrame({"query_id": [], "index_id": [], "distance": []})
-        best = _Best(asked["id"].to_numpy(np.int64), _matrix(asked["v"]), k)
-        best.add(rows["id"].to_numpy(np.int64), _matrix(rows["v"]))
-        return best.frame()
+    def meet(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        if rows.num_rows == 0 or asked.num_rows == 0:
+            return _EMPTY
+        best = _Search(_ids(asked["id"]), _matrix(asked["v"]), k)
+        best.add(_ids(rows["id"]), _matrix(rows["v"]))
+        return pa.table(best.columns(), _NAMES)
 
-    return left.groupBy("ib", "qb").cogroup(right.groupBy("ib", "qb")).applyInPandas(meet, _CANDIDATES)
+    return left.groupBy("ib", "qb").cogroup(right.groupBy("ib", "qb")).applyInArrow(meet, _CANDIDATES)
 
 
 def k_nearest(

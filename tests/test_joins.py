@@ -142,7 +142,8 @@ def brute(index, queries, k):
 def test_knn_against_brute_force(spark, monkeypatch, query_bytes):
     monkeypatch.setattr(knn, "INDEX_BLOCK", 100)
     monkeypatch.setattr(knn, "QUERY_BLOCK", 20)
-    monkeypatch.setattr(knn, "_TILE", 512)
+    monkeypatch.setattr(knn, "_TILE_QUERIES", 7)
+    monkeypatch.setattr(knn, "_TILE_ROWS", 13)
     rng = np.random.default_rng(1)
     index, queries = rng.normal(size=(300, 8)), rng.normal(size=(50, 8))
     index[100:110] = index[7]  # equal distances
