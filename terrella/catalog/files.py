@@ -10,7 +10,7 @@ from terrella.operators.columns import array_to_columns, cast_columns
 from terrella.plans.views import with_views
 from terrella.session import scratch_path
 from terrella.sinks import writers
-from terrella.sources import generators, readers
+from terrella.sources import datasets, generators, readers
 
 
 def _ddl(df) -> str:
@@ -55,7 +55,7 @@ def scan_fixed_width(t):
     path = scratch_path(t.spark, "fixed-width")
     line = F.format_string('%-11d %8.4f %9.4f NAME "%d', "station_id", "latitude", "longitude", "station_id")
     t.stations.select(line.alias("value")).write.text(path)
-    cut = readers.read_fixed_width(t.spark, path, readers.STATION_FILE)
+    cut = readers.read_fixed_width(t.spark, path, datasets.STATION_FILE)
     return cast_columns(cut, {"latitude": "double", "longitude": "double"})
 
 

@@ -53,16 +53,24 @@ def linear_regression(t):
     return fitted.withColumn("value", F.round("value", 4))
 
 
-@query("linear_regression_recovery")
+_TRUTH = [
+    *((f"x{j}", c) for j, c in enumerate(generators.regression_coefficients(16, 5, seed=10))),
+    ("intercept", 1.0),
+]
+
+
+@query(
+    "linear_regression_recovery",
+    f"SELECT name, round(value, 4) AS value FROM (VALUES {', '.join(f'({n!r}, {c!r}::DOUBLE)' for n, c in _TRUTH)}) v(name, value)",
+)
 def linear_regression_recovery(t):
-    """Fitted next to true coefficients of a noise-free table made from the event ids."""
-    truth = generators.regression_coefficients(16, 5, seed=10)
+    """Coefficients fitted to a noise-free table over all event ids; the SQL states the true ones."""
+    names, truth = zip(*_TRUTH)
     ids = t.events.select(F.col("event_id").alias("id"))
-    rows = models.vectors(generators.regression(ids, truth, bias=1.0, noise=0.0, seed=10), "features")
-    names = [f"x{j}" for j in range(16)]
-    fitted = _coefficients(t, models.fit_line(rows, "y"), names)
-    known = F.create_map(*[F.lit(x) for pair in zip([*names, "intercept"], [*truth, 1.0]) for x in pair])
-    return fitted.withColumn("truth", known[F.col("name")])
+    made = generators.regression(ids, truth[:-1], bias=truth[-1], noise=0.0, seed=10)
+    fitted = _coefficients(t, models.fit_line(models.vectors(made, "features"), "y"), names)
+    # Adding zero turns -0.0 into 0.0.
+    return fitted.withColumn("value", F.round("value", 4) + 0.0)
 
 
 @query("kmeans_fit")

@@ -93,6 +93,16 @@ def epoch_shards(t):
     return windows.epoch_shards(t.documents.select("doc_id"), "doc_id", epoch=3, shards=8)
 
 
+@query(
+    "epoch_shard_sizes",
+    """SELECT CAST(shard AS INT) AS shard, CAST(ceil(n / 8e0) AS BIGINT) AS n, CAST(ceil(n / 8e0) AS BIGINT) - 1 AS last_slot
+       FROM (SELECT count(*) AS n FROM documents) c, range(8) r(shard)""",
+)
+def epoch_shard_sizes(t):
+    dealt = windows.epoch_shards(t.documents.select("doc_id"), "doc_id", epoch=3, shards=8)
+    return dealt.groupBy("shard").agg(F.countDistinct("slot").alias("n"), F.max("slot").alias("last_slot"))
+
+
 @query("focal_mean", FOCAL_SQL + " SELECT i, j, round(v, 6) AS v, is_border FROM swept")
 def focal_mean(t):
     return windows.focal_mean(t.cells).withColumn("v", F.round("v", 6))

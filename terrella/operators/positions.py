@@ -67,19 +67,18 @@ def running_offsets(totals: DataFrame, amount: str, keys: Sequence[str] = ()) ->
             F.coalesce(F.sum(amount).over(earlier), F.lit(0)).alias("_before"),
             F.sum(amount).over(all_chunks).alias("_all"),
         )
-    pieces = totals.agg(F.array_sort(F.collect_list(F.struct(CHUNK, amount))).alias("_pieces"))
-    amounts = F.col(f"_pieces.{amount}")
-    zero = F.lit(0).cast(totals.schema[amount].dataType)
-    add = lambda total, x: total + x
-    offsets = F.transform(
-        F.col("_pieces"),
-        lambda piece, i: F.struct(
-            piece[CHUNK].alias(CHUNK),
-            F.aggregate(F.slice(amounts, F.lit(1), i), zero, add).alias("_before"),
-            F.aggregate(amounts, zero, add).alias("_all"),
-        ),
+    ordered = f"array_sort(collect_list(struct({CHUNK}, cast({amount} as bigint) as amount)))"
+    summed = """aggregate(_pieces, struct(cast(array() as array<bigint>) as befores, 0L as total),
+        (sum, piece) -> struct(array_append(sum.befores, sum.total) as befores, sum.total + piece.amount as total))"""
+    pieces = totals.agg(F.expr(ordered).alias("_pieces")).withColumn("_sums", F.expr(summed))
+    return pieces.select(
+        F.inline(
+            F.expr(
+                f"zip_with(_pieces, _sums.befores, (piece, before) -> "
+                f"struct(piece.{CHUNK} as {CHUNK}, before as _before, _sums.total as _all))"
+            )
+        )
     )
-    return pieces.select(F.inline(offsets))
 
 
 def number_chunked(

@@ -18,14 +18,6 @@ from terrella.operators.metrics import (
 )
 from terrella.operators.partitions import pin
 
-# Names of the columns of the collision table, label first.
-COLLISION_COLUMNS = (
-    "process lepton_pT lepton_eta lepton_phi missing_energy_magnitude missing_energy_phi "
-    "jet_1_pt jet_1_eta jet_1_phi jet_1_b_tag jet_2_pt jet_2_eta jet_2_phi jet_2_b_tag "
-    "jet_3_pt jet_3_eta jet_3_phi jet_3_b_tag jet_4_pt jet_4_eta jet_4_phi jet_4_b_tag "
-    "m_jj m_jjj m_lv m_jlv m_bb m_wbb m_wwbb"
-).split()
-
 
 def scored_validation(
     rows: DataFrame,

@@ -9,20 +9,6 @@ from pyspark.sql import functions as F
 
 from terrella.functions.text import slice_text, strip
 
-# Column names and types of the supported input files.
-TRIP_FILE = (
-    "VendorID INT, tpep_pickup_datetime TIMESTAMP, tpep_dropoff_datetime TIMESTAMP, "
-    "passenger_count INT, trip_distance FLOAT, pickup_longitude FLOAT, pickup_latitude FLOAT, "
-    "RatecodeID INT, store_and_fwd_flag INT, dropoff_longitude FLOAT, dropoff_latitude FLOAT, "
-    "payment_type INT, fare_amount FLOAT, extra FLOAT, mta_tax FLOAT, tip_amount FLOAT, "
-    "total_amount FLOAT, tolls_amount FLOAT, improvement_surcharge FLOAT"
-)
-OBSERVATION_FILE = (
-    "station_id STRING, date STRING, type STRING, val DOUBLE, "
-    "mflag STRING, qflag STRING, sflag STRING, obs_time STRING"
-)
-STATION_FILE = {"station_id": (0, 11), "latitude": (12, 20), "longitude": (21, 30)}
-
 
 def read_csv_typed(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """CSV files with a header line and declared types."""
