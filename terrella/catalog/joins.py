@@ -69,17 +69,17 @@ _SITES_SQL = with_views("stations") + """, sites AS (
     + f""" SELECT id1, id2, round(km, 6) AS distance_km, n_pairs FROM (
         SELECT a.id AS id1, b.id AS id2, a.n * b.n AS n_pairs,
                {haversine_sql("a.lon", "a.lat", "b.lon", "b.lat")} AS km
-        FROM sites a JOIN sites b ON a.id < b.id) p WHERE km <= 2
+        FROM sites a JOIN sites b ON a.id < b.id) p WHERE km <= 10
       UNION ALL SELECT id, id, 0e0, n * (n - 1) // 2 FROM sites WHERE n > 1""",
 )
 def join_fixed_radius(t):
-    """Pairs of sites within 2 km, with the number of station pairs each stands for."""
+    """Pairs of sites within 10 km, with the number of station pairs each stands for."""
     sites = t.stations.groupBy(F.col("longitude").alias("lon"), F.col("latitude").alias("lat")).agg(
         F.min("station_id").alias("id"), F.count("*").alias("n")
     )
     size = sites.select("id", "n")
     pairs = (
-        ops.fixed_radius_pairs(sites, 2.0)
+        ops.fixed_radius_pairs(sites, 10.0)
         .join(size.toDF("id1", "n1"), "id1")
         .join(size.toDF("id2", "n2"), "id2")
         .select("id1", "id2", F.round("distance_km", 6).alias("distance_km"), (F.col("n1") * F.col("n2")).alias("n_pairs"))
