@@ -169,11 +169,9 @@ def _surviving_pairs(pairs: DataFrame, signatures: DataFrame, threshold: float)
     return pairs.join(right, "b").join(left, "a").filter(passes("sa", "sb")).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, width: int) -> DataFrame:
-    """Pairs whose whole shingle sets reach the threshold."""
-    pairs = materialize(pairs, "survivors")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    ids = materialize(ids, "survivor-ids")
+def _whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(doc_id, members): the sorted shingle set of each document in ``ids``."""
+    ids = materialize(ids, "ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
 
@@ -184,17 +182,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, width: int) -
 
     chosen = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     sets = map_batches(chosen, collected, "doc_id bigint, members binary")
-    sets = materialize(sets, "shingles").groupBy("doc_id").agg(F.min("members").alias("members"))
+    return materialize(sets, "shingles").groupBy("doc_id").agg(F.min("members").alias("members"))
+
+
+def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether the Jaccard similarity of two sorted sets is at least ``percent`` / 100."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, threshold: float, width: int) -> DataFrame:
+    """Pairs whose whole shingle sets reach the threshold."""
+    pairs = materialize(pairs, "survivors")
+    sets = _whole_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), width)
     percent = round(100 * threshold)
 
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        def reach(x, y):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            return 100 * common >= percent * (len(x) + len(y) - common)
-
-        return pd.Series([reach(x, y) for x, y in zip(a, b)], dtype=bool)
+        read = lambda x: np.frombuffer(x, np.uint64)
+        return pd.Series([reaches(read(x), read(y), percent) for x, y in zip(a, b)], dtype=bool)
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("members").alias("ma"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("members").alias("mb"))
@@ -226,33 +234,39 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _across(members: DataFrame, threshold: float) -> DataFrame:
-    """Surviving pairs of different labels inside buckets (key, c, doc_id, label, signature).
+    """Links between labels inside buckets (key, c, doc_id, label, signature, members).
 
     A bucket of more than ``BLOCK`` members is cut into blocks, and every pair
-    of blocks is a group of its own.
+    of blocks is a group of its own. Survivors of the signatures are verified on
+    their whole sets at once. Labels that a link joins are not compared again,
+    so a group gives fewer links than it has members.
     """
-    fewest = least_matches(threshold)
+    fewest, percent = least_matches(threshold), round(100 * threshold)
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     placed = members.withColumn("_blocks", blocks).withColumn(
         "_block", F.pmod(F.xxhash64("doc_id", "key"), F.col("_blocks")).cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     placed = placed.withColumn("_other", other).select(
-        "key", "doc_id", "label", "signature", "_block",
+        "key", "doc_id", "label", "signature", "members", "_block",
         F.least("_block", "_other").alias("i"), F.greatest("_block", "_other").alias("j"),
     )
 
     def compare(key, rows: pd.DataFrame) -> pd.DataFrame:
         i, j = int(key[1]), int(key[2])
-        ids, labels = rows["doc_id"].to_numpy(), rows["label"].to_numpy()
-        signature, block = _matrix(rows["signature"]), rows["_block"].to_numpy()
+        ids, signature = rows["doc_id"].to_numpy(), _matrix(rows["signature"])
+        sets = [np.frombuffer(m, np.uint64) for m in rows["members"]]
+        root, block = rows["label"].to_numpy().copy(), rows["_block"].to_numpy()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         found = []
         for x in left:
-            y = right[(labels[right] != labels[x]) & ((ids[right] > ids[x]) | (i != j))]
-            if len(y):
-                kept = y[survive(np.broadcast_to(signature[x], (len(y), signature.shape[1])), signature[y], fewest)]
-                found += [(min(ids[x], ids[k]), max(ids[x], ids[k])) for k in kept]
+            y = right[(root[right] != root[x]) & ((ids[right] > ids[x]) | (i != j))]
+            if not len(y):
+                continue
+            for k in y[survive(np.broadcast_to(signature[x], (len(y), signature.shape[1])), signature[y], fewest)]:
+                if root[k] != root[x] and reaches(sets[x], sets[k], percent):
+                    found.append((min(ids[x], ids[k]), max(ids[x], ids[k])))
+                    root[root == root[k]] = root[x]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return placed.groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
@@ -286,8 +300,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, width: int = 5) ->
     )
     span = labelled.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo < _hi")
     mixed = labelled.join(span.select("key"), "key", "left_semi").join(signatures, "doc_id")
-    across = _across(mixed.select("key", "c", "doc_id", "label", "signature"), threshold).join(stars, ["a", "b"], "left_anti")
-    more = materialize(_verified(across, docs, threshold, width), "links")
+    mixed = materialize(mixed.select("key", "c", "doc_id", "label", "signature"), "mixed")
+    sets = _whole_sets(docs, mixed.select("doc_id").distinct(), width)
+    more = materialize(_across(mixed.join(sets, "doc_id"), threshold), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
     labels = labels.withColumnRenamed("doc_id", "rep")

@@ -84,15 +84,18 @@ class EliasFano:
         end = np.asarray(self.starts[np.minimum(high + 1, last)], np.int64)
         end = np.where(high + 1 > last, self.count, end)
         at = np.where(high > last, self.count, at)
-        equal, going = np.zeros(len(queries), bool), np.flatnonzero(at < end)
-        while len(going):
-            here = self._low(at[going])
-            equal[going] = here == low[going]
-            smaller = here < low[going]
-            at[going[smaller]] += 1
-            going = going[smaller]
-            going = going[at[going] < end[going]]
-        return at, equal
+        first, last = at, end.copy()
+        going = np.flatnonzero(first < last)
+        while len(going):  # binary search among the elements with the same high part
+            middle = (first[going] + last[going]) >> 1
+            smaller = self._low(middle) < low[going]
+            first[going[smaller]] = middle[smaller] + 1
+            last[going[~smaller]] = middle[~smaller]
+            going = going[first[going] < last[going]]
+        equal = np.zeros(len(queries), bool)
+        inside = np.flatnonzero(first < end)
+        equal[inside] = self._low(first[inside]) == low[inside]
+        return first, equal
 
 
 class Trie:
@@ -118,7 +121,7 @@ class Trie:
             EliasFano(*level[:2], *views[2 * i : 2 * i + 2]) for i, level in enumerate(levels)
         )
         self.values = views[-1]
-        # Pointers are decoded by position: the k-th element is one of few with its high part.
+        # Each range's end, decoded for the search.
         self.ends = pointers[1:].astype(np.int64)
 
     def lookup(self, contexts: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> np.ndarray:
