@@ -21,6 +21,8 @@ from terrella.llm.common import materialize
 WINDOW, LITERALS, LEAST = 8, 5, 3
 #: Rows that may be broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Documents whose matched windows (some kilobytes at most each, by their text) may be broadcast.
+BROADCAST_IDS = 10_000
 
 NAME, NUMBER, UNIT = "", "", ""
 #: Units of measure after a number: fixed values.
@@ -74,30 +76,33 @@ def _is_slot(word: Column) -> Column:
 
 
 def windows(rows: DataFrame, width: int, *keys: str) -> DataFrame:
-    """(keys, pos, hash, literals, slots) of every window of a ``text`` column."""
-    made = rows.select(*keys, template(F.col("text")).alias("_words"), slot_values(F.col("text")).alias("_values"))
-    made = made.filter(F.size("_words") >= width)
-    # How many placeholders stand before each word.
-    zero = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("seen"))
-    before = F.aggregate(
-        "_words",
-        zero,
-        lambda acc, w: F.struct(
-            (acc["n"] + _is_slot(w).cast("int")).alias("n"), F.array_append(acc["seen"], acc["n"]).alias("seen")
-        ),
-        lambda acc: F.array_append(acc["seen"], acc["n"]),
-    )
-    made = made.withColumn("_before", before).withColumn("_hashes", window_hashes("_words", width))
-    placed = made.select(*keys, "_words", "_values", "_before", F.posexplode("_hashes").alias("pos", "hash"))
-    first = F.get("_before", F.col("pos"))
-    count = F.get("_before", F.col("pos") + width) - first
-    return placed.select(
-        *keys,
-        "pos",
-        "hash",
-        (F.lit(width) - count).alias("literals"),
-        F.slice("_values", first + 1, count).alias("slots"),
-    )
+    """(keys, pos, hash) of every window of a ``text`` column."""
+    hashes = window_hashes(template(F.col("text")), width)
+    return rows.select(*keys, F.posexplode(hashes).alias("pos", "hash"))
+
+
+def with_slots(rows: DataFrame, width: int, *keys: str) -> DataFrame:
+    """(keys, pos, hash, literals, slots) of the windows in ``at``, an array of (pos, hash), of ``text``."""
+
+    def read(words: Column, values: Column) -> Column:
+        def one(w: Column) -> Column:
+            count = F.size(F.filter(F.slice(words, w["pos"] + 1, F.lit(width)), _is_slot))
+            first = F.size(F.filter(F.slice(words, F.lit(1), w["pos"]), _is_slot))
+            return F.struct(
+                w["pos"].alias("pos"),
+                w["hash"].alias("hash"),
+                (F.lit(width) - count).alias("literals"),
+                F.slice(values, first + 1, count).alias("slots"),
+            )
+
+        return F.transform("at", one)
+
+    text = F.col("text")
+    return rows.select(*keys, F.inline(_bound(template(text), lambda t: _bound(slot_values(text), lambda v: read(t, v)))))
+
+
+def _gathered(found: DataFrame, *keys: str) -> DataFrame:
+    return found.groupBy(*keys).agg(F.collect_set(F.struct("pos", "hash")).alias("at"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, least: int = LEAST) -> DataFrame:
@@ -133,19 +138,19 @@ def _found(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, least: in
 
 
 def _matches(docs: DataFrame, items: DataFrame, width: int, least: int) -> DataFrame:
-    wanted = windows(items, width, "item_id").filter(F.col("literals") >= min(LITERALS, width))
+    asked = items.join(_gathered(windows(items, width, "item_id"), "item_id"), "item_id")
+    wanted = with_slots(asked, width, "item_id").filter(F.col("literals") >= min(LITERALS, width))
     wanted = materialize(wanted, "benchmark-windows")
     hashes = wanted.select("hash").distinct()
     if wanted.count() <= BROADCAST_ROWS:
         hashes = F.broadcast(hashes)
-    words = docs.select("doc_id", "_h", template(F.col("text")).alias("_words"))
-    seen = words.select("doc_id", "_h", F.explode(window_hashes("_words", width)).alias("hash"))
-    hits = materialize(seen.join(hashes, "hash", "left_semi").select("doc_id", "_h").distinct(), "window-hits")
-    if hits.count() <= BROADCAST_ROWS:
-        hits = F.broadcast(hits)
+    hits = windows(docs, width, "doc_id", "_h").join(hashes, "hash", "left_semi")
+    hits = _gathered(materialize(hits, "window-hits"), "doc_id", "_h")
+    if hits.count() <= BROADCAST_IDS:
+        hits = F.broadcast(materialize(hits, "hits"))
     same = docs["doc_id"].eqNullSafe(hits["doc_id"]) & docs["_h"].eqNullSafe(hits["_h"])
-    matched = docs.join(hits, same, "left_semi").dropDuplicates(["doc_id", "_h"])
-    spread = windows(matched, width, "doc_id", "_h").select(
+    matched = docs.join(hits, same).select(docs["doc_id"], docs["_h"], "text", "at").dropDuplicates(["doc_id", "_h"])
+    spread = with_slots(matched, width, "doc_id", "_h").select(
         "doc_id", "_h", "hash", F.col("pos").alias("_at"), F.col("slots").alias("_theirs")
     )
     paired = spread.join(wanted, "hash").select(
