@@ -29,7 +29,10 @@ _ASSIGN = _NAME + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]++)"""
 _ACCESS = r"AKIA[A-Z0-9]{12,}+"
 _HEX = r"[0-9a-f]{32,}+"
 _TOKEN = r"[A-Za-z0-9+/_=-]{20,}+"
-_IDENTIFIER = r"[A-Za-z][A-Za-z0-9_]{5,}+"
+# Shorter than the tokens in question, none of which is labelled.
+_IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_]{5,18}+(?![A-Za-z0-9+/_=-])"
+#: Weight of single characters in a row of transitions.
+BACKOFF = 5.0
 #: Characters 32 to 126.
 SYMBOLS = 95
 
@@ -71,7 +74,10 @@ def _sample(docs: DataFrame, count: int, *columns: Column) -> DataFrame:
 
 
 def train(docs: DataFrame, secret_docs: int = SECRET_DOCS, ordinary_docs: int = ORDINARY_DOCS) -> list[float]:
-    """Log-likelihood ratio (random against ordinary) of each transition, with one added to every count."""
+    """Log-likelihood ratio (random against ordinary) of each transition.
+
+    Each row of transitions is smoothed by ``BACKOFF`` draws from the frequencies of single characters.
+    """
     spanned = docs.select("doc_id", "text", base_spans(F.col("text")).alias("base"))
     value = lambda s: F.when(
         s["kind"] == "assign", F.regexp_extract(s["value"], _ASSIGN, 1)
@@ -87,8 +93,14 @@ def train(docs: DataFrame, secret_docs: int = SECRET_DOCS, ordinary_docs: int =
     logs = []
     for count in counts:
         rows = [sum(count.get(a * SYMBOLS + b, 0) for b in range(SYMBOLS)) for a in range(SYMBOLS)]
+        ends = [sum(count.get(a * SYMBOLS + b, 0) for a in range(SYMBOLS)) + 0.5 for b in range(SYMBOLS)]
+        chance = [e / sum(ends) for e in ends]
         logs.append(
-            [math.log((count.get(a * SYMBOLS + b, 0) + 1) / (rows[a] + SYMBOLS)) for a in range(SYMBOLS) for b in range(SYMBOLS)]
+            [
+                math.log((count.get(a * SYMBOLS + b, 0) + BACKOFF * chance[b]) / (rows[a] + BACKOFF))
+                for a in range(SYMBOLS)
+                for b in range(SYMBOLS)
+            ]
         )
     return [a - b for a, b in zip(*logs)]
 
