@@ -191,7 +191,7 @@ def preview_outliers(t):
 
 @query(
     "array_to_columns",
-    "SELECT vec_id, label, embedding[1] AS x, embedding[2] AS y FROM embeddings",
+    f"SELECT vec_id, label, {', '.join(f'embedding[{i + 1}] AS x{i}' for i in range(64))} FROM embeddings",
 )
 def array_to_columns(t):
-    return ops.array_to_columns(t.embeddings, "embedding", ["x", "y"])
+    return ops.array_to_columns(t.embeddings, "embedding", [f"x{i}" for i in range(64)])

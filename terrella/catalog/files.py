@@ -133,16 +133,17 @@ def model_save_load(t):
     )
 
 
-_RUN_SQL = """SELECT CAST(user_id % 8 + 1 AS INT) AS workers, round(avg(value), 4) AS seconds
-  FROM events WHERE event_type = '{}' GROUP BY 1"""
-
-
-@query("sink_append_runs", f"{_RUN_SQL.format('click')} UNION ALL {_RUN_SQL.format('view')}")
+@query(
+    "sink_append_runs",
+    """SELECT CAST(user_id % 8 + 1 AS INT) AS workers, round(avg(value), 4) AS seconds
+       FROM events GROUP BY event_type, 1""",
+)
 def sink_append_runs(t):
     path = scratch_path(t.spark, "runs")
-    for kind in ("click", "view"):
+    # One run is appended per event type found.
+    for (kind,) in t.events.select("event_type").distinct().orderBy("event_type").collect():
         workers = (F.col("user_id") % 8 + 1).cast("int").alias("workers")
-        runs = t.events.filter(F.col("event_type") == kind).groupBy(workers)
+        runs = t.events.filter(F.col("event_type").eqNullSafe(F.lit(kind))).groupBy(workers)
         writers.append_runs(runs.agg(F.round(F.avg("value"), 4).alias("seconds")), path)
     return t.spark.read.schema("workers INT, seconds DOUBLE").option("sep", " ").csv(path)
 

@@ -173,9 +173,9 @@ def topk_per_group(t):
 
 @query("union_frames", "SELECT event_id, event_type, value FROM events")
 def union_frames(t):
-    kinds = ("signup", "purchase", "error", "view", "click")
     rows = t.events.select("event_id", "event_type", "value")
-    return ordering.union_frames([rows.filter(F.col("event_type") == k) for k in kinds])
+    quarter = F.coalesce("event_id", F.lit(0)) % 4
+    return ordering.union_frames([rows.filter(quarter == k) for k in range(4)])
 
 
 def _distance_to_atlanta(batch: pd.DataFrame) -> pd.DataFrame:

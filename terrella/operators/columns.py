@@ -101,9 +101,17 @@ def elementwise_chain(df: DataFrame, steps: Sequence[tuple[str, str]]) -> DataFr
 
 
 def array_to_columns(df: DataFrame, array: str, names: Sequence[str]) -> DataFrame:
-    """The first elements of an array as named columns, in place of the array."""
+    """The elements of an array as named columns, in place of the array.
+
+    A null array gives null columns; one of another length than ``names`` is an error.
+    """
     rest = [c for c in df.columns if c != array]
-    return df.select(*rest, *[F.get(F.col(array), i).alias(n) for i, n in enumerate(names)])
+    fits = F.col(array).isNull() | (F.size(array) == len(names))
+    wrong = F.raise_error(F.concat(F.lit(f"{len(names)} elements of {array} wanted, found "), F.size(array)))
+    whole = F.when(fits, F.col(array)).otherwise(wrong)
+    return df.select(*rest, whole.alias(array)).select(
+        *rest, *[F.get(F.col(array), i).alias(n) for i, n in enumerate(names)]
+    )
 
 
 def count_matches(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

@@ -26,16 +26,21 @@ def accuracy(df: DataFrame, predicted: Column, actual: Column) -> DataFrame:
 def confusion_matrix(
     df: DataFrame, predicted: Column, actual: Column, labels: Sequence[int] = (0, 1)
 ) -> DataFrame:
-    """Rows (actual, predicted, n) for every pair of labels, empty cells included."""
+    """Rows (actual, predicted, n) for every pair of labels, empty cells included.
+
+    Labels are the given ones and all that occur on either side. Rows without a
+    label or prediction have cells of their own, if there are any.
+    """
     seen = df.groupBy(actual.alias("actual"), predicted.alias("predicted")).agg(
         F.count("*").alias("n")
     )
-    all_labels = F.array(*[F.lit(x) for x in labels])
-    grid = df.sparkSession.range(1).select(F.explode(all_labels).alias("actual"))
-    grid = grid.select("actual", F.explode(all_labels).alias("predicted"))
-    # The grid has len(labels) ** 2 rows.
+    found = F.array_union(F.collect_set("actual"), F.collect_set("predicted"))
+    every = seen.agg(F.array_union(F.array(*[F.lit(x) for x in labels]), found).alias("labels"))
+    grid = every.select("labels", F.explode("labels").alias("actual"))
+    grid = grid.select("actual", F.explode("labels").alias("predicted"))
     filled = grid.join(seen, ["actual", "predicted"], "left")
-    return filled.select("actual", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
+    blank = seen.filter(F.col("actual").isNull() | F.col("predicted").isNull())
+    return filled.select("actual", "predicted", F.coalesce("n", F.lit(0)).alias("n")).unionByName(blank)
 
 
 def _share_or_zero(part: Column, whole: Column) -> Column:

@@ -59,14 +59,26 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+#: Folder of each application's scratch paths, by application and shared folder.
+_SCRATCH: dict[tuple[str, str], str] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder, removed when the application ends."""
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.deleteOnExit(hadoop_path)
-    return path
+    """A new path in the shared folder, removed when the application ends.
+
+    All paths of an application lie in one folder. It is made before it is
+    marked for removal, as Hadoop ignores marks on paths that do not exist.
+    """
+    context = spark.sparkContext
+    key = (context.applicationId, shared_dir(spark))
+    if key not in _SCRATCH:
+        folder = f"{key[1]}/scratch-{uuid.uuid4().hex}"
+        hadoop_path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
+        fs.mkdirs(hadoop_path)
+        fs.deleteOnExit(hadoop_path)
+        _SCRATCH[key] = folder
+    return f"{_SCRATCH[key]}/{label}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

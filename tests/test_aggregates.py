@@ -99,3 +99,10 @@ def test_cross_entropy_and_error(spark):
     assert metrics.epoch_loss(df, F.col("e"), "z", "y").first()["loss"] == pytest.approx(math.log(2))
     margins = spark.createDataFrame([(2.0, 1), (-1.0, 1), (0.0, 0), (3.0, 0)], "m DOUBLE, y INT")
     assert metrics.margin_error(margins, "m", "y").first()["error"] == 0.5
+
+
+def test_confusion_matrix_keeps_every_label(spark):
+    rows = spark.createDataFrame([(0, 0), (1, 2), (None, 1)], "actual int, predicted int")
+    cells = metrics.confusion_matrix(rows, F.col("predicted"), F.col("actual")).collect()
+    assert len(cells) == 10 and sum(r["n"] for r in cells) == 3
+    assert {(r["actual"], r["predicted"]) for r in cells if r["n"]} == {(0, 0), (1, 2), (None, 1)}

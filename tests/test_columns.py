@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,3 +90,13 @@ def test_previews_and_counts(spark):
     df = spark.range(20)
     assert columns.count_matches(df, {"even": "id % 2 = 0", "none": "id < 0"}).first().asDict() == {"even": 10, "none": 0}
     assert [r["id"] for r in columns.preview_matches(df, "id > 3", [F.desc("id")], 2).collect()] == [19, 18]
+
+
+def test_array_of_another_length_is_an_error(spark):
+    good = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "id int, v array<double>")
+    assert [tuple(r) for r in columns.array_to_columns(good, "v", ["x", "y"]).orderBy("id").collect()] == [
+        (1, 1.0, 2.0),
+        (2, None, None),
+    ]
+    with pytest.raises(Exception, match="2 elements of v wanted"):
+        columns.array_to_columns(spark.createDataFrame([(1, [1.0])], "id int, v array<double>"), "v", ["x", "y"]).collect()
