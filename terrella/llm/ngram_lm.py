@@ -32,7 +32,7 @@ from terrella.llm.common import words_of
 #: Weight of the unigram distribution, in tokens.
 MU = 500.0
 #: Bytes of text in a group, and bytes of text whose pairs one shard owns.
-GROUP_BYTES, SHARD_BYTES = 16 << 20, 12 << 20
+GROUP_BYTES, SHARD_BYTES = 9 << 20, 7 << 20
 #: Documents sampled per shard to find contexts so frequent that their words are spread.
 SAMPLE_PER_SHARD, SPREAD = 4, 256
 #: Bits of a word's hash inside a context.
