@@ -29,8 +29,6 @@ REACH, REACH_CHARS = 8, 160
 SUPPORT = 3
 #: Share of an entity's information that a term may not disclose.
 SHARE = 0.8
-#: Candidate terms that may be broadcast; more are joined by a shuffle.
-BROADCAST_TERMS = 500_000
 
 # Possessive forms of the patterns. A match can only start at the border of a
 # run or where the last match ended, so no run is searched twice.
@@ -105,12 +103,10 @@ def disclosing_terms(docs: DataFrame, mentions: DataFrame, share: float, support
     together = mentions.select(F.inline("pairs")).groupBy("entity", "term").agg(F.count("*").alias("n_ct"))
     together = materialize(together.filter(F.col("n_ct") >= support), "pairs")
     entities = mentions.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_c"))
-    candidates = materialize(together.select("term").distinct(), "candidates")
-    if candidates.count() <= BROADCAST_TERMS:
-        candidates = F.broadcast(candidates)
+    # Words are counted inside each task first, so that no more than its vocabulary is shuffled or joined.
     words = F.array_distinct(F.split(F.lower("text"), _WORD))
     seen = docs.select(F.explode(words).alias("term")).filter(F.length("term") >= 4)
-    terms = seen.join(candidates, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    terms = seen.groupBy("term").agg(F.count("*").alias("n_t")).filter(F.col("n_t") >= support)
     total = docs.count()
     pmi = F.log2(F.col("n_ct") * total / (F.col("n_c") * F.col("n_t")))
     content = F.log2(F.lit(total) / F.col("n_c"))
