@@ -134,6 +134,17 @@ def covariance_matrix(t):
     return ops.covariance_matrix(measures, list(_MEASURES)).withColumn("cov", F.round("cov", 6))
 
 
+@query(
+    "vector_covariance",
+    """WITH e AS (SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INT) AS pos,
+         CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+       SELECT a.pos AS row, b.pos AS col, round(covar_samp(a.x, b.x), 9) + 0e0 AS cov
+       FROM e AS a JOIN e AS b ON a.vec_id = b.vec_id GROUP BY 1, 2""",
+)
+def vector_covariance(t):
+    return ops.vector_covariance(t.embeddings, "embedding").withColumn("cov", F.round("cov", 9) + 0.0)
+
+
 @query(
     "column_means",
     "WITH m AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _MEASURES.items()) + " FROM lineitem) "

@@ -154,6 +154,21 @@ def normalize_vector(t):
     return _long(t.embeddings, vectors.normalize(F.col("embedding"), 0.5, 0.25))
 
 
+_CHANNEL_MEANS, _CHANNEL_STDS = (0.5, 0.25, 0.75, 1.0), (0.25, 0.5, 2.0, 1.0)
+
+
+@query(
+    "normalize_channels_flatten",
+    _EMBEDDING_ROWS
+    + f"""SELECT vec_id, pos, round((x - list_extract({[*_CHANNEL_MEANS]}::DOUBLE[], pos // 16 + 1))
+         / list_extract({[*_CHANNEL_STDS]}::DOUBLE[], pos // 16 + 1), 9) AS value FROM e""",
+)
+def normalize_channels_flatten(t):
+    """Four channels of 16 components, each with its own mean and deviation, flattened again."""
+    channels = vectors.channels_of(F.col("embedding"), 16)
+    return _long(t.embeddings, F.flatten(vectors.normalize_channels(channels, _CHANNEL_MEANS, _CHANNEL_STDS)))
+
+
 PROBES = {
     "negative_time": "dropoff_datetime <= pickup_datetime",
     "short_but_dear": "trip_distance < 10 and fare_amount > 300",

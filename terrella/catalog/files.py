@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrella.catalog.registry import query
+from terrella.catalog.registry import normal_sql, query, uniform_sql
 from terrella.learning.models import center_table, fit_kmeans, save_and_reload, vectors
 from terrella.operators.columns import array_to_columns, cast_columns
 from terrella.plans.views import with_views
@@ -24,6 +24,23 @@ def scan_csv_typed(t):
     return readers.read_csv_typed(t.spark, path, _ddl(t.lineitem))
 
 
+@query(
+    "scan_csv_versions",
+    """SELECT l_orderkey, l_linenumber, l_quantity,
+       CASE WHEN l_orderkey % 2 = 0 THEN l_tax END AS l_tax FROM lineitem""",
+)
+def scan_csv_versions(t):
+    """Two versions of a file: other order and names of columns, one column more."""
+    path = scratch_path(t.spark, "csv-versions")
+    even = F.coalesce(F.col("l_orderkey") % 2 == 0, F.lit(False))
+    new = t.lineitem.filter(even).select(F.col("l_tax").alias(" L_Tax"), "l_linenumber", "l_quantity", "l_orderkey", "l_partkey")
+    old = t.lineitem.filter(~even).select(F.col("l_quantity").alias("qty"), "l_orderkey", "l_linenumber")
+    for rows, folder in ((new, "new"), (old, "old")):
+        rows.write.option("header", True).csv(f"{path}/{folder}")
+    kept = _ddl(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_tax"))
+    return readers.read_csv_typed(t.spark, [f"{path}/new", f"{path}/old"], kept, {"qty": "l_quantity"})
+
+
 @query("scan_csv_headerless_gz", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def scan_csv_headerless_gz(t):
     path = scratch_path(t.spark, "csv-gz")
@@ -63,23 +80,56 @@ def _event_ids(t):
     return t.events.select(F.col("event_id").alias("id"))
 
 
-@query("gen_key_value")
+def _rounded(df, digits, *names):
+    """Logarithms and cosines of two engines differ in their last digits."""
+    return df.withColumns({n: F.round(n, digits) + 0.0 for n in names})
+
+
+@query(
+    "gen_key_value",
+    f"""SELECT event_id AS id, CAST({uniform_sql("event_id", 43210, 7)} < 5e-1 AS INT) AS key,
+       round({normal_sql("event_id", 43210)}, 9) + 0e0 AS value FROM events""",
+)
 def gen_key_value(t):
-    return generators.key_value(_event_ids(t), seed=43210)
+    return _rounded(generators.key_value(_event_ids(t), seed=43210), 9, "value")
+
 
+_CENTERS = generators.blob_centers(8, 6, seed=170)
 
-@query("gen_blobs")
+
+@query(
+    "gen_blobs",
+    f"""WITH b AS (SELECT event_id AS id, CAST(floor({uniform_sql("event_id", 170, -1)} * 8) AS INT) AS label FROM events)
+       SELECT id, label, """
+    + ", ".join(
+        f"round(list_extract({[c[j] for c in _CENTERS]}::DOUBLE[], label + 1) + 4e-1 * {normal_sql('id', 170, j)}, 9) + 0e0 AS x{j}"
+        for j in range(6)
+    )
+    + " FROM b",
+)
 def gen_blobs(t):
-    centers = generators.blob_centers(8, 6, seed=170)
-    made = generators.blobs(_event_ids(t), centers, 0.4, seed=170)
-    return array_to_columns(made, "features", [f"x{j}" for j in range(6)])
+    made = generators.blobs(_event_ids(t), _CENTERS, 0.4, seed=170)
+    names = [f"x{j}" for j in range(6)]
+    return _rounded(array_to_columns(made, "features", names), 9, *names)
 
 
-@query("gen_regression")
+_COEFFICIENTS = generators.regression_coefficients(12, 4, seed=10)
+
+
+@query(
+    "gen_regression",
+    "WITH x AS (SELECT event_id AS id, "
+    + ", ".join(f"{normal_sql('event_id', 10, j)} AS x{j}" for j in range(12))
+    + " FROM events) SELECT id, "
+    + ", ".join(f"round(x{j}, 9) + 0e0 AS x{j}" for j in range(12))
+    + ", round(1e0 + "
+    + " + ".join(f"x{j} * CAST({c!r} AS DOUBLE)" for j, c in enumerate(_COEFFICIENTS))
+    + ", 6) + 0e0 AS y FROM x",
+)
 def gen_regression(t):
-    coefficients = generators.regression_coefficients(12, 4, seed=10)
-    made = generators.regression(_event_ids(t), coefficients, bias=1.0, noise=0.0, seed=10)
-    return array_to_columns(made, "features", [f"x{j}" for j in range(12)])
+    made = generators.regression(_event_ids(t), _COEFFICIENTS, bias=1.0, noise=0.0, seed=10)
+    names = [f"x{j}" for j in range(12)]
+    return _rounded(_rounded(array_to_columns(made, "features", names), 9, *names), 6, "y")
 
 
 @query(

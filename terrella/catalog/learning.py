@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from terrella.catalog.registry import query
+from terrella.catalog.registry import drawn_bits_sql, query
 from terrella.learning import models
 from terrella.learning.early_stop import early_stop_round
 from terrella.learning.linear import gradient_step as step
-from terrella.learning.linear import predict_line
+from terrella.learning.linear import gradient_step_vector, predict_line
 from terrella.learning.splits import in_test_set, split_by, split_seeded
 from terrella.operators.columns import array_to_columns, assemble
 from terrella.operators.metrics import regression_error
@@ -20,7 +20,12 @@ from terrella.sources import generators
 _ITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
 
 
-@query("split_random")
+@query(
+    "split_random",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN
+         {drawn_bits_sql(13, "l_orderkey", "l_linenumber", "l_partkey", 1)} % 1000000 < 250000
+         THEN 'test' ELSE 'train' END AS part FROM lineitem""",
+)
 def split_random(t):
     items = t.lineitem.select(*_ITEM_KEYS)
     train, test = split_seeded(items, _ITEM_KEYS, test_share=0.25, seed=1)
@@ -195,3 +200,18 @@ def gradient_step(t):
     rows = t.lineitem.select("l_quantity", (F.col("l_extendedprice") / 1e3).alias("y"))
     moved = step(rows, "l_quantity", "y", w=0.5, b=1.0, rate=1e-3)
     return moved.select(*[F.round(c, 6).alias(c) for c in moved.columns])
+
+
+@query(
+    "gradient_step_vector",
+    """WITH e AS (SELECT vec_id, label, list_transform(list_append(embedding::DOUBLE[], 1e0), lambda x: x) AS f FROM embeddings),
+       r AS (SELECT f, list_sum(list_transform(f, lambda x, i: x * CASE WHEN i = 65 THEN 5e-1 ELSE (i - 1) * 1e-2 END)) - label
+         AS residual FROM e),
+       g AS (SELECT CAST(generate_subscripts(f, 1) - 1 AS INT) AS pos, 2 * residual * unnest(f) AS term FROM r)
+       SELECT pos, round(avg(term), 6) + 0e0 AS gradient,
+         round(CASE WHEN pos = 64 THEN 5e-1 ELSE pos * 1e-2 END - 1e-1 * avg(term), 6) + 0e0 AS weight FROM g GROUP BY pos""",
+)
+def gradient_step_over_vector(t):
+    rows = t.embeddings.select("embedding", F.col("label").cast("double").alias("y"))
+    moved = gradient_step_vector(rows, "embedding", "y", [j * 0.01 for j in range(64)], 0.5, rate=0.1)
+    return moved.select("pos", *[(F.round(c, 6) + 0.0).alias(c) for c in ("gradient", "weight")])

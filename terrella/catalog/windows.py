@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from terrella.catalog.aggregates import FOCAL_SQL
 from terrella.catalog.functions import haversine_sql
-from terrella.catalog.registry import query
+from terrella.catalog.registry import drawn_bits_sql, query
 from terrella.functions import vectors
 from terrella.operators import ordering, partitions, windows
 from terrella.plans.rainfall import station_year_totals
@@ -88,7 +88,13 @@ def batch_assign_drop_last(t):
     return _batches(t, drop_last=True)
 
 
-@query("epoch_shards")
+@query(
+    "epoch_shards",
+    f"""WITH m AS (SELECT doc_id, row_number() OVER (ORDER BY {drawn_bits_sql(15, "doc_id", 3)}, doc_id) - 1 AS pos,
+         count(*) OVER () AS size FROM documents),
+       p AS (SELECT doc_id, unnest(range(pos, CAST(ceil(size / 8e0) AS BIGINT) * 8, size)) AS place FROM m)
+       SELECT doc_id, CAST(place % 8 AS INT) AS shard, place // 8 AS slot FROM p""",
+)
 def epoch_shards(t):
     return windows.epoch_shards(t.documents.select("doc_id"), "doc_id", epoch=3, shards=8)
 

@@ -65,6 +65,22 @@ def normalize(v: Column, mean: float, std: float) -> Column:
     return F.transform(as_doubles(v), lambda x: (x - F.lit(float(mean))) / F.lit(float(std)))
 
 
+def normalize_channels(channels: Column, means: Sequence[float], stds: Sequence[float]) -> Column:
+    """Normalise each channel (an array of arrays) by its own mean and deviation."""
+    if len(means) != len(stds):
+        raise ValueError(f"{len(means)} means for {len(stds)} deviations")
+    pairs = F.array(*[F.struct(F.lit(float(m)).alias("m"), F.lit(float(s)).alias("s")) for m, s in zip(means, stds)])
+    wrong = F.raise_error(F.concat(F.lit(f"expected {len(means)} channels, found "), F.size(channels).cast("string")))
+    checked = F.when(F.size(channels) == len(means), channels).when(channels.isNotNull(), wrong.cast("array<array<double>>"))
+    return F.zip_with(checked, pairs, lambda c, p: F.transform(as_doubles(c), lambda x: (x - p["m"]) / p["s"]))
+
+
+def channels_of(v: Column, width: int) -> Column:
+    """Cut a vector into channels of ``width`` components."""
+    starts = F.sequence(F.lit(1), F.size(v), F.lit(width))
+    return F.when(F.size(v) > 0, F.transform(starts, lambda i: F.slice(as_doubles(v), i, F.lit(width))))
+
+
 def every_kth(v: Column, k: int) -> Column:
     """Elements at positions 0, k, 2k, ..."""
     return F.filter(v, lambda x, i: i % k == 0)

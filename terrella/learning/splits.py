@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrella.functions.numeric import drawn_bits
+
 
 def split_by(df: DataFrame, in_test: Column) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; a null condition counts as train."""
@@ -23,5 +25,4 @@ def split_seeded(
 
 def in_test_set(keys: Sequence[str], test_share: float, seed: int) -> Column:
     steps = 1_000_000
-    place = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(steps))
-    return place < round(test_share * steps)
+    return drawn_bits(13, *map(F.col, keys), seed) % steps < round(test_share * steps)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,3 +118,32 @@ def covariance_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
         for b in range(len(names))
     ]
     return row.select(F.inline(F.array(*entries)))
+
+
+def vector_covariance(df: DataFrame, vector: str) -> DataFrame:
+    """Sample covariance of every two components of a vector column as rows (row, col, cov).
+
+    For wide vectors: each task adds up one matrix of products around the means
+    and only these matrices are shuffled. Null vectors are left out; vectors of
+    different lengths are an error.
+    """
+    known = df.select(F.col(vector).cast("array<double>").alias("v")).filter(F.col("v").isNotNull())
+    # One mean per component: as many rows as a vector has components.
+    means = known.select(F.posexplode("v").alias("pos", "x")).groupBy("pos").agg(F.avg("x").alias("m"), F.count("*").alias("n"))
+    found = sorted(tuple(r) for r in means.collect())
+    if len({n for _, _, n in found}) > 1:
+        raise ValueError("vectors of different lengths")
+    center, rows = np.array([m for _, m, _ in found]), found[0][2] if found else 0
+    width = len(center)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            flat = batch["v"].flatten().to_numpy(zero_copy_only=False)
+            gaps = flat.reshape(batch.num_rows, width) - center
+            total += gaps.T @ gaps
+        row, col = np.indices((width, width)).reshape(2, -1).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(col), pa.array(total.ravel())], ["row", "col", "part"])
+
+    parts = known.mapInArrow(products, "row int, col int, part double")
+    return parts.groupBy("row", "col").agg(F.try_divide(F.sum("part"), F.lit(rows - 1.0)).alias("cov"))

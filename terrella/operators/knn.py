@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,9 +96,12 @@ class _Search:
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Rows of equally long lists as one matrix."""
+    """Rows of equally long lists as one matrix; other lengths are an error."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
+    lengths = pc.unique(pc.list_value_length(vectors))
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted(lengths.to_pylist())}")
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(vectors), -1)
 
@@ -107,7 +111,8 @@ def _ids(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def _as_vectors(df: DataFrame, id_column: str, vector: str) -> DataFrame:
-    return df.select(F.col(id_column).cast("long").alias("id"), F.col(vector).alias("v"))
+    rows = df.select(F.col(id_column).cast("long").alias("id"), F.col(vector).alias("v"))
+    return rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull())
 
 
 def _scan_with_queries(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -165,7 +170,8 @@ def k_nearest(
 ) -> DataFrame:
     """The k nearest index rows of each query: (query_id, rank, index_id, distance).
 
-    Ranks start at 1; equal distances go to the smaller id.
+    Ranks start at 1; equal distances go to the smaller id. Rows without id or
+    vector are left out, and so are distances that are no number.
     Queries above the byte bound are never collected: both sides are blocked.
     """
     index, queries = _as_vectors(index, id_column, vector), _as_vectors(queries, id_column, vector)

@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrella.operators.skew import split_heavy
+from terrella.operators.skew import null_safe_join, split_heavy
 
 #: Upper bound for the number of chunks a group, or a whole table, is cut into.
 CHUNKS = 4096
@@ -94,7 +94,7 @@ def number_chunked(
     if not keys:
         offsets = F.broadcast(offsets)  # at most CHUNKS rows
     inside = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-    numbered = df.withColumn("_inside", inside).join(offsets, by)
+    numbered = null_safe_join(df.withColumn("_inside", inside), offsets, by)
     numbered = numbered.withColumn(out, (F.col("_inside") + F.col("_before")).cast("long"))
     if size:
         numbered = numbered.withColumn(size, F.col("_all").cast("long"))

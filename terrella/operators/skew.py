@@ -9,6 +9,8 @@ makes it safe to broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +27,13 @@ def _heaviest(df: DataFrame, keys: Sequence[str], rows: float) -> DataFrame:
     return counts.orderBy(F.desc("_rows"), *keys).limit(MAX_KEYS)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet null keys; the keys are those of ``left``."""
+    theirs = right.withColumnsRenamed({k: f"_right_{k}" for k in on})
+    same = reduce(and_, (left[k].eqNullSafe(theirs[f"_right_{k}"]) for k in on))
+    return left.join(theirs, same, how).drop(*[f"_right_{k}" for k in on])
+
+
 def split_heavy(
     df: DataFrame,
     keys: Sequence[str],
@@ -34,15 +43,15 @@ def split_heavy(
     """Rows of ordinary groups, and rows of heavy groups if there are any.
 
     A small job counts a sample of the key columns, so that tables without
-    heavy groups keep their plain plan.
+    heavy groups keep their plain plan. Null is a key like any other.
     """
     keys = list(keys)
-    sampled = df.select(*keys).dropna().sample(fraction=sample_fraction, seed=17)
+    sampled = df.select(*keys).sample(fraction=sample_fraction, seed=17)
     found = _heaviest(sampled, keys, max(1.0, task_rows * sample_fraction)).drop("_rows").collect()
     if not found:
         return df, None
     listed = F.broadcast(df.sparkSession.createDataFrame(found, df.select(*keys).schema))
-    return df.join(listed, keys, "left_anti"), df.join(listed, keys, "left_semi")
+    return null_safe_join(df, listed, keys, "left_anti"), null_safe_join(df, listed, keys, "left_semi")
 
 
 def salted_join(
@@ -52,27 +61,39 @@ def salted_join(
     spread: Sequence[str],
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """Inner equi-join in which each heavy key of ``left`` is cut into salts.
+    """Inner equi-join in which each key with many pairs is cut into salts.
 
     For joins whose work grows with the product of both sides of a key; the
-    skew handling of adaptive execution looks at bytes only. Keys are counted
-    inside the same plan, where Spark reuses any shuffle ``left`` comes from.
+    skew handling of adaptive execution looks at bytes only. Rows per key are
+    counted on both sides, and a key with ``task_rows`` pairs or more is cut on
+    the side that has more rows of it; the other side is copied once per salt.
 
-    ``spread`` names left columns that differ between rows of one key. Their
-    hash, mixed with the number of the partition the row sits in, picks the
+    ``spread`` names left columns that differ between rows of one key; the right
+    side is spread by all its columns. Their hash, mixed with the number of the partition the row sits in, picks the
     salt: a retried task picks the same one, and full copies of a row still
-    spread as they come from many partitions. Right rows of a heavy key are
-    copied once per salt.
+    spread as they come from many partitions.
     """
     on = list(on)
-    salts = F.ceil(F.col("_rows") / task_rows).cast("int").alias("_salts")
-    heavy = F.broadcast(_heaviest(left, on, task_rows).select(*on, salts))
-    count = F.coalesce(F.col("_salts"), F.lit(1))
-    salted_left = left.join(heavy, on, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(F.spark_partition_id(), *spread), count).cast("int")
+    rows = [side.groupBy(*on).agg(F.count("*").alias(n)) for side, n in ((left, "_left"), (right, "_right"))]
+    pairs = F.col("_left").cast("double") * F.col("_right")
+    many = rows[0].join(rows[1], on).withColumn("_rows", pairs).filter(F.col("_rows") >= task_rows)
+    most = F.greatest("_left", "_right")
+    salts = F.least(F.ceil(F.col("_rows") / task_rows), most).cast("int")
+    cut_left = F.col("_left") >= F.col("_right")
+    heavy = F.broadcast(
+        many.orderBy(F.desc("_rows"), *on).limit(MAX_KEYS).select(
+            *on, F.when(cut_left, salts).otherwise(1).alias("_ls"), F.when(cut_left, 1).otherwise(salts).alias("_rs")
+        )
     )
-    salted_right = right.join(heavy, on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), count - 1))
+
+    def salted(side: DataFrame, own: str, other: str, mixed: Sequence[str]) -> DataFrame:
+        """Rows with a salt of their own out of ``own`` and a copy for each of ``other``."""
+        salt = F.pmod(F.xxhash64(F.spark_partition_id(), *mixed), F.coalesce(own, F.lit(1))).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
+        marked = side.join(heavy, on, "left").withColumn(f"_salt{own}", salt).withColumn(f"_salt{other}", copies)
+        return marked.drop("_ls", "_rs")
+
+    met = salted(left, "_ls", "_rs", spread).join(
+        salted(right, "_rs", "_ls", right.columns), [*on, "_salt_ls", "_salt_rs"]
     )
-    joined = salted_left.drop("_salts").join(salted_right.drop("_salts"), [*on, "_salt"])
-    return joined.drop("_salt")
+    return met.drop("_salt_ls", "_salt_rs")

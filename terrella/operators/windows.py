@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrella.functions.numeric import drawn_bits
 from terrella.operators.positions import (
     CHUNK,
     chunk_count,
@@ -16,7 +17,7 @@ from terrella.operators.positions import (
     quantile_chunks,
     running_offsets,
 )
-from terrella.operators.skew import split_heavy
+from terrella.operators.skew import null_safe_join, split_heavy
 from terrella.session import ensure_checkpoint_dir
 
 
@@ -81,7 +82,7 @@ def neighbour(
     inside = Window.partitionBy(*by).orderBy(*order)
     chunked = (
         ranged.withColumn("_inside", F.lag(F.struct(value)).over(inside))
-        .join(carried, by)
+        .transform(lambda rows: null_safe_join(rows, carried, by))
         .withColumn("_seen", F.coalesce("_inside", "_carried"))
         .withColumn(
             out,
@@ -126,7 +127,9 @@ def epoch_shards(df: DataFrame, id_column: str, epoch: int, shards: int) -> Data
     until the count divides evenly. Adds ``shard`` and ``slot``, the place
     inside the shard.
     """
-    mixed = df.withColumn("_mix", F.xxhash64(id_column, F.lit(epoch)))
+    # 60 bits of a digest, moved to the whole range of a signed number.
+    bits = drawn_bits(15, F.col(id_column), epoch)
+    mixed = df.withColumn("_mix", (bits - (1 << 59)) * 16)
     mixed = mixed.withColumn(CHUNK, hash_chunks(F.col("_mix"), chunk_count(df.sparkSession)))
     numbered = number_chunked(mixed, ["_mix", id_column], "_position", size="_size")
     padded = F.ceil(F.col("_size") / shards) * shards

@@ -14,13 +14,11 @@ from random import Random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SPAN = 1 << 52
-
+from terrella.functions.numeric import drawn_bits
 
 def uniform(id_column: Column, seed: int, stream: int = 0) -> Column:
-    """Uniform value in (0, 1)."""
-    bits = F.shiftrightunsigned(F.xxhash64(id_column, F.lit(seed), F.lit(stream)), 12)
-    return (bits.cast("double") + 0.5) / float(_SPAN)
+    """Uniform value in (0, 1), from 52 bits of a digest that any SQL engine can compute."""
+    return (drawn_bits(13, id_column, seed, stream).cast("double") + 0.5) / float(1 << 52)
 
 
 def normal(id_column: Column, seed: int, stream: int = 0) -> Column:

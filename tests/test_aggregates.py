@@ -106,3 +106,13 @@ def test_confusion_matrix_keeps_every_label(spark):
     cells = metrics.confusion_matrix(rows, F.col("predicted"), F.col("actual")).collect()
     assert len(cells) == 10 and sum(r["n"] for r in cells) == 3
     assert {(r["actual"], r["predicted"]) for r in cells if r["n"]} == {(0, 0), (1, 2), (None, 1)}
+
+
+def test_vector_covariance(spark):
+    rows = [([1.0, 2.0],), ([3.0, 2.0],), ([5.0, 8.0],), (None,)]
+    df = spark.createDataFrame(rows, "v ARRAY<DOUBLE>")
+    got = {(r["row"], r["col"]): round(r["cov"], 9) for r in aggregates.vector_covariance(df, "v").collect()}
+    assert got == {(0, 0): 4.0, (0, 1): 6.0, (1, 0): 6.0, (1, 1): 12.0}
+    with pytest.raises(ValueError, match="different lengths"):
+        aggregates.vector_covariance(df.union(spark.createDataFrame([([1.0],)], "v ARRAY<DOUBLE>")), "v")
+    assert aggregates.vector_covariance(df.limit(0), "v").count() == 0

@@ -119,3 +119,26 @@ def test_collisions_from_files(spark, tmp_path):
     quality = {r["metric"]: r["value"] for r in report["quality"].collect()}
     assert quality["accuracy"] > 0.9 and quality["roc_auc"] > 0.9
     assert sum(r["n"] for r in report["confusion"].collect()) == scored.count()
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("lon,lat,n\n-73.9,40.7,1\n")
+    (tmp_path / "b.csv").write_text("\ufeff Latitude ,n,extra,LON\n40.8,2,x,-74.0\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_text("n\n3\n")
+    (tmp_path / "d.csv").write_text("")
+    schema = "lon DOUBLE, lat DOUBLE, n INT"
+    got = readers.read_csv_typed(spark, str(tmp_path), schema, {"latitude": "lat"})
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == [(-73.9, 40.7, 1), (-74.0, 40.8, 2), (None, None, 3)]
+    assert got.dtypes == [("lon", "double"), ("lat", "double"), ("n", "int")]
+
+
+def test_csv_rows_that_do_not_parse_are_reported(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,x\n1,0.5\ntwo,0.25\n")
+    got = readers.read_csv_typed(spark, str(tmp_path), "x DOUBLE, n INT", malformed="broken")
+    assert sorted(map(tuple, got.collect()), key=repr) == [(0.25, None, "two,0.25"), (0.5, 1, None)]
+
+
+def test_csv_of_an_unknown_layout_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("p,q\n1,2\n")
+    with pytest.raises(ValueError, match="no declared column"):
+        readers.read_csv_typed(spark, str(tmp_path), "n INT")

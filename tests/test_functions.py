@@ -97,3 +97,11 @@ def test_softmax_of_large_values(one):
     v = F.array(F.lit(1000.0), F.lit(1000.0), F.lit(-1000.0))
     assert value(one, vectors.softmax(v)) == pytest.approx([0.5, 0.5, 0.0])
     assert value(one, vectors.cross_entropy(v, F.lit(0))) == pytest.approx(math.log(2))
+
+
+def test_channels_have_their_own_mean_and_deviation(one):
+    v = F.array(*[F.lit(float(x)) for x in (1, 3, 10, 30)])
+    channels = vectors.channels_of(v, 2)
+    assert value(one, vectors.normalize_channels(channels, [1.0, 10.0], [2.0, 20.0])) == [[0.0, 1.0], [0.0, 1.0]]
+    with pytest.raises(Exception, match="expected 3 channels"):
+        value(one, vectors.normalize_channels(channels, [1.0, 2.0, 3.0], [1.0, 1.0, 1.0]))

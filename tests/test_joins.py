@@ -84,6 +84,16 @@ def test_salts_reach_many_tasks(spark):
     assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 4000
 
 
+def test_salted_join_cuts_a_side_that_is_heavy_on_the_right(spark):
+    left = spark.createDataFrame([(1, v) for v in range(3)] + [(None, 9)], "k LONG, v LONG")
+    right = spark.range(1200, numPartitions=6).select(
+        F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("w")
+    )
+    salted = salted_join(left, right, ["k"], ["v"], task_rows=100)
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+    assert "_salt" in salted._jdf.queryExecution().analyzed().toString() and salted.columns == ["k", "v", "w"]
+
+
 def test_broadcast_only_below_the_bound(spark):
     def hinted(df, max_bytes):
         return "broadcast" in joins.broadcast_if_small(df, max_bytes)._jdf.queryExecution().logical().toString()
@@ -178,3 +188,14 @@ def test_knn_on_all_embeddings(spark, tables):
     exact = np.sort(np.sqrt(((matrix[:, None, :] - matrix[None, :, :]) ** 2).sum(axis=2)), axis=1)[:, :6]
     ours = got.sort_values(["query_id", "rank"])["distance"].to_numpy().reshape(-1, 6)
     assert np.allclose(ours, exact, atol=1e-9)
+
+
+@pytest.mark.parametrize("query_bytes", [knn.QUERY_BYTES, 0])
+def test_knn_leaves_out_null_vectors_and_refuses_ragged_ones(spark, query_bytes):
+    schema = "vec_id LONG, embedding ARRAY<DOUBLE>"
+    index = spark.createDataFrame([(1, [0.0, 0.0]), (2, None), (None, [0.0, 1.0]), (3, [3.0, 4.0])], schema)
+    got = knn.k_nearest(index, index.filter("vec_id = 1"), 3, query_bytes=query_bytes)
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 1, 0.0), (1, 2, 3, 5.0)]
+    ragged = index.union(spark.createDataFrame([(4, [1.0])], schema)).coalesce(1)
+    with pytest.raises(Exception, match="different lengths|reshape|align|mismatch"):
+        knn.k_nearest(ragged, index.filter("vec_id = 1"), 3, query_bytes=query_bytes).collect()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from terrella import catalog
 from terrella.learning import models
 from terrella.learning.early_stop import early_stop_round
-from terrella.learning.linear import gradient_step
+from terrella.learning.linear import gradient_step, gradient_step_vector
 from terrella.learning.splits import split_by, split_seeded
 from terrella.operators.aggregates import covariance_matrix
 from terrella.operators.metrics import inertia
@@ -160,3 +160,16 @@ def test_gradient_steps_reach_the_line(spark):
 def test_partition_count():
     assert partition_count(20_000_000, 1_000_000, 8) == 20
     assert partition_count(10, 1_000_000, 8) == 8
+
+
+def test_vector_gradient_steps_reach_the_plane(spark):
+    rows = spark.range(200).select(
+        F.array((F.col("id") % 7 / 7), (F.col("id") % 11 / 11)).alias("f")
+    ).withColumn("y", 2 * F.col("f")[0] - F.col("f")[1] + 0.5)
+    weights = [0.0, 0.0, 0.0]
+    for _ in range(8):
+        step = {r["pos"]: r for r in gradient_step_vector(rows, "f", "y", weights[:2], weights[2], 0.5).collect()}
+        before, weights = weights, [step[p]["weight"] for p in range(3)]
+        for p in range(3):
+            assert weights[p] == pytest.approx(before[p] - 0.5 * step[p]["gradient"])
+    assert abs(weights[0] - 2) < 1 and abs(weights[1] + 1) < 1.3

@@ -48,6 +48,18 @@ def rows(df):
 )
 def test_heavy_groups_give_the_same_rows(skewed, operator):
     assert rows(operator(skewed, SPLIT)) == rows(operator(skewed, PLAIN))
+    # The heavy key can be null.
+    nulls = skewed.withColumn("k", F.when(F.col("k") != 0, F.col("k")))
+    assert rows(operator(nulls, SPLIT)) == rows(operator(nulls, PLAIN))
+
+
+def test_a_null_key_is_heavy_too(skewed):
+    from terrella.operators.skew import split_heavy
+
+    nulls = skewed.withColumn("k", F.when(F.col("k") != 0, F.col("k")))
+    cold, hot = split_heavy(nulls, ["k"], **SPLIT)
+    assert {r["k"] for r in hot.select("k").distinct().collect()} == {None}
+    assert hot.count() == 300 and cold.count() == 600
 
 
 @pytest.mark.parametrize("n, owners, sizes", [(10, 4, [3, 3, 2, 2]), (2, 4, [1, 1]), (8, 4, [2] * 4)])
