@@ -176,7 +176,7 @@ def sink_csv_head(t):
 
 @query("model_save_load")
 def model_save_load(t):
-    model = fit_kmeans(vectors(t.embeddings, "embedding"), k=10, max_iter=20)
+    model = fit_kmeans(vectors(t.embeddings, "embedding"), k=10)
     loaded = save_and_reload(model, scratch_path(t.spark, "kmeans"))
     return center_table(t.embeddings, loaded).select(
         "cluster", F.posexplode("center").alias("pos", "value")

@@ -13,7 +13,7 @@ from terrella.learning.linear import gradient_step_vector, predict_line
 from terrella.learning.splits import in_test_set, split_by, split_seeded
 from terrella.operators.columns import array_to_columns, assemble
 from terrella.operators.metrics import regression_error
-from terrella.operators.partitions import pin
+from terrella.operators.partitions import keep, pin
 from terrella.plans.trips import trip_features
 from terrella.sources import generators
 
@@ -126,20 +126,22 @@ def _boosted(t):
     names = ["hour", "noisy_value", "user_group"]
     rows = assemble(boosted_table(t), names).select("event_id", "y", "features")
     train, valid = map(pin, split_seeded(rows, ["event_id"], test_share=0.33, seed=42))
-    model, history = models.fit_boosted(train, valid, "y", max_rounds=20, first_rounds=20)
-    return models.predict_margin(model, valid), history
+    model, _ = models.fit_boosted(train, valid, "y")
+    scored = models.predict_margin(model, valid)
+    scored = keep(scored.select("event_id", "y", "margin", "probability_1", "label_1", "prediction"), "scored")
+    train.unpersist()
+    valid.unpersist()
+    return scored
 
 
 @query("gbt_fit_predict")
 def gbt_fit_predict(t):
-    scored, _ = _boosted(t)
-    return scored.select("event_id", "y", "probability_1", "label_1")
+    return _boosted(t).select("event_id", "y", "probability_1", "label_1")
 
 
 @query("gbt_margin_predict")
 def gbt_margin_predict(t):
-    scored, _ = _boosted(t)
-    return scored.select("event_id", "margin", "probability_1", "label_1", F.col("prediction").cast("int").alias("prediction"))
+    return _boosted(t).select("event_id", "margin", "probability_1", "label_1", F.col("prediction").cast("int").alias("prediction"))
 
 
 _CURVE = """WITH c AS (SELECT event_type AS run, CAST(day(ts) AS INT) AS round, round(avg(value), 6) AS metric

@@ -71,5 +71,5 @@ def trips_features(t):
 @query("classifier_report")
 def classifier_report(t):
     """Quality of boosted trees on the held-out events, as rows (metric, value)."""
-    scored = classifier.scored_validation(boosted_table(t), "y", ["event_id"], max_rounds=20, first_rounds=20)
+    scored = classifier.scored_validation(boosted_table(t), "y", ["event_id"])
     return classifier.quality_table(scored, "y")

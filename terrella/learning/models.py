@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
@@ -19,12 +21,13 @@ from pyspark.ml.regression import (
     RandomForestRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrella.functions.numeric import round_half_even, sigmoid
 from terrella.learning.early_stop import early_stop_round
 from terrella.operators.columns import assemble, feature_names
+from terrella.session import ensure_checkpoint_dir
 
 
 def vectors(df: DataFrame, array: str, out: str = "features") -> DataFrame:
@@ -89,6 +92,64 @@ def _boosted(label: str, features: str, rounds: int, depth: int, seed: int) -> G
     )
 
 
+def _leaf_values(model: GBTClassificationModel) -> np.ndarray:
+    """Weighted value of each leaf, one row per tree; leaves count from left to right."""
+
+    def leaves(node) -> list[float]:
+        if node.getClass().getSimpleName() == "LeafNode":
+            return [node.prediction()]
+        return leaves(node.leftChild()) + leaves(node.rightChild())
+
+    values = [leaves(tree.rootNode()) for tree in model._java_obj.trees()]
+    table = np.zeros((len(values), max(map(len, values))))
+    for row, found, weight in zip(table, values, model.treeWeights):
+        row[: len(found)] = np.multiply(found, weight)
+    return table
+
+
+def error_by_round(model: GBTClassificationModel, rows: DataFrame, label: str) -> list[float]:
+    """Share of wrong labels after each round, for all rounds in one pass over the rows.
+
+    A row's leaves give the margin of every round as a running sum.
+    """
+    values = _leaf_values(model)
+    rounds = np.arange(len(values))
+
+    def count(batches):
+        wrong, seen = np.zeros(len(values), np.int64), 0
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                leaf = np.asarray(part["leaf"].flatten()).reshape(part.num_rows, -1).astype(np.int64)
+                positive = np.cumsum(values[rounds, leaf], axis=1) > 0
+                wrong += (positive != (np.asarray(part["actual"]) > 0.5)[:, None]).sum(axis=0)
+                seen += part.num_rows
+        columns = [pa.array(rounds), pa.array(wrong), pa.array(np.full(len(values), seen))]
+        yield pa.RecordBatch.from_arrays(columns, ["round", "wrong", "seen"])
+
+    leaves = model.copy().setLeafCol("_leaf").transform(rows)
+    counted = leaves.select(
+        vector_to_array("_leaf").alias("leaf"), F.col(label).cast("double").alias("actual")
+    ).mapInArrow(count, "round long, wrong long, seen long")
+    shares = counted.groupBy("round").agg(F.try_divide(F.sum("wrong"), F.sum("seen")).alias("error"))
+    found = [r["error"] for r in shares.orderBy("round").collect()]
+    if not found or found[0] is None:
+        raise ValueError("no validation rows")
+    return found
+
+
+def first_rounds_of(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first rounds: later trees do not change earlier ones."""
+    java = model._java_obj
+    context = SparkSession.active().sparkContext
+    trees = context._gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(context._jvm.double, rounds)
+    for i, tree in enumerate(java.trees()[:rounds]):
+        trees[i], weights[i] = tree, model.treeWeights[i]
+    made = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{model.uid}_{rounds}", trees, weights)
+    return GBTClassificationModel(made).setFeaturesCol(model.getFeaturesCol())
+
+
 def fit_boosted(
     train: DataFrame,
     valid: DataFrame,
@@ -96,29 +157,30 @@ def fit_boosted(
     features: str = "features",
     max_rounds: int = 2000,
     patience: int = 10,
-    first_rounds: int = 16,
+    first_rounds: int = 32,
     depth: int = 3,
     seed: int = 7,
+    metric: str = "error",
 ) -> tuple[GBTClassificationModel, DataFrame]:
-    """Boosted trees kept at the best validation round, and the loss per round.
+    """Boosted trees kept at the best validation round, and the measure per round.
 
-    Rounds double until the stop rule fires or the limit is reached, then the
-    model is refitted to the best round. Earlier rounds do not depend on later
-    ones, so the refit equals the longer model cut short. The loss is Spark's
-    per-round validation loss.
+    ``metric`` is ``error``, the share of wrong labels, or ``loss``, Spark's
+    validation loss. Rounds double until the stop rule fires or the limit is
+    reached; the model is then cut after the best round.
     """
+    ensure_checkpoint_dir(train.sparkSession)  # the estimator cuts its lineage every ten rounds
     rounds = min(first_rounds, max_rounds)
     while True:
         model = _boosted(label, features, rounds, depth, seed).fit(train)
-        losses = [(0, i + 1, float(x)) for i, x in enumerate(model.evaluateEachIteration(valid))]
-        history = train.sparkSession.createDataFrame(losses, "run int, round int, metric double")
+        measured = error_by_round(model, valid, label) if metric == "error" else model.evaluateEachIteration(valid)
+        curve = [(0, i + 1, float(x)) for i, x in enumerate(measured)]
+        history = train.sparkSession.createDataFrame(curve, "run int, round int, metric double")
         chosen = early_stop_round(history, ["run"], patience).first()
-        if chosen["stopped"] or rounds >= max_rounds:
+        # A perfect fit can end with fewer trees than asked for.
+        if chosen["stopped"] or rounds >= max_rounds or len(curve) < rounds:
             break
         rounds = min(2 * rounds, max_rounds)
-    if chosen["best_round"] < rounds:
-        model = _boosted(label, features, chosen["best_round"], depth, seed).fit(train)
-    return model, history
+    return first_rounds_of(model, chosen["best_round"]), history
 
 
 def predict_margin(model: GBTClassificationModel, df: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrella.session import scratch_path
+
 
 def map_partitions(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """Apply a pandas function to each Arrow batch; ``schema`` declares its output."""
@@ -37,3 +39,10 @@ def pin(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Spread a table evenly over the executors and keep it in memory or on disk."""
     spread = df.repartition(partitions) if partitions else df
     return spread.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def keep(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back, so that later steps do not compute it again."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

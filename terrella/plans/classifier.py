@@ -16,7 +16,7 @@ from terrella.operators.metrics import (
     roc_auc,
     sensitivity_specificity,
 )
-from terrella.operators.partitions import pin
+from terrella.operators.partitions import keep, pin
 
 
 def scored_validation(
@@ -27,12 +27,15 @@ def scored_validation(
     seed: int = 42,
     **training,
 ) -> DataFrame:
-    """Fit on the training part and score the validation part."""
+    """Fit on the training part and score the validation part; the scores are kept, the parts released."""
     train, valid = split_seeded(rows, keys, test_share, seed)
     train = pin(labelled_features(train.drop(*keys), label))
     valid = pin(labelled_features(valid.drop(*keys), label))
     model, _ = fit_boosted(train, valid, label, **training)
-    return predict_margin(model, valid)
+    scored = keep(predict_margin(model, valid).select(label, "margin", "probability_1", "label_1"), "scored")
+    train.unpersist()
+    valid.unpersist()
+    return scored
 
 
 def quality_table(scored: DataFrame, label: str) -> DataFrame:

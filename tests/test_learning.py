@@ -127,6 +127,36 @@ def test_boosting_stops_early(spark):
     assert model.getNumTrees == chosen["best_round"] <= 64
 
 
+def test_boosting_measures_every_round_as_the_cut_model_does(spark):
+    rows = spark.range(600).select(
+        (generators.normal(F.col("id"), 3) > 0).cast("int").alias("y"),
+        (generators.normal(F.col("id"), 3) + generators.normal(F.col("id"), 4)).alias("x"),
+    )
+    table = pin(models.labelled_features(rows, "y"))
+    model = models._boosted("y", "features", 6, 3, 7).fit(table)
+    errors = models.error_by_round(model, table, "y")
+    assert len(errors) == 6
+    for i, error in enumerate(errors):
+        cut = models.predict_margin(models.first_rounds_of(model, i + 1), table)
+        assert error == pytest.approx(cut.agg(F.avg((F.col("label_1") != F.col("y")).cast("int"))).first()[0])
+    with pytest.raises(ValueError):
+        models.error_by_round(model, table.limit(0), "y")
+
+
+def test_boosting_on_loss(spark):
+    rows = spark.range(300).select((F.col("id") % 3 == 0).cast("int").alias("y"), (F.col("id") % 3 + 0.0).alias("x"))
+    table = pin(models.labelled_features(rows, "y"))
+    model, history = models.fit_boosted(table, table, "y", max_rounds=3, metric="loss")
+    assert model.getNumTrees == history.count() == 3
+
+
+def test_classifier_report_leaves_nothing_in_memory(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    quality = {r["metric"]: r["value"] for r in QUERIES["classifier_report"](spark, DATA).collect()}
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert quality["accuracy"] > 0.5 and 0.5 < quality["roc_auc"] <= 1
+
+
 def test_perceptron_beats_guessing(spark):
     got = QUERIES["mlp_fit_predict"](spark, DATA).collect()
     assert sum(r["label"] == r["prediction"] for r in got) / len(got) > 0.1
