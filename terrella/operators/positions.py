@@ -7,13 +7,15 @@ order, and the sum of the chunks before is added to each row's number.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrella.operators.skew import null_safe_join, split_heavy
+from terrella.operators.partitions import keep
+from terrella.operators.skew import TASK_ROWS, null_safe_join, split_heavy
 
 #: Upper bound for the number of chunks a group, or a whole table, is cut into.
 CHUNKS = 4096
@@ -44,6 +46,19 @@ def quantile_chunks(df: DataFrame, by: str, chunks: int | None = None) -> DataFr
     return cutter.transform(ranged).withColumn(CHUNK, chunk).drop("_by", "_b")
 
 
+def range_chunks(df: DataFrame, by: Sequence[str], rows: int = TASK_ROWS) -> DataFrame:
+    """Add ``_chunk``, which rises along all the columns ``by`` and holds about ``rows`` rows.
+
+    The order is cut as a whole: a value that repeats in the first column, null
+    included, is cut along the next ones. Only rows equal in all of ``by`` stay
+    together. Chunks are as many as the rows need. The cuts come from a sample,
+    so the table is written to the shared folder, where all later steps see
+    the same chunks.
+    """
+    chunks = max(8, math.ceil(df.count() / rows))
+    return keep(df.repartitionByRange(chunks, *by).withColumn(CHUNK, F.spark_partition_id()), "chunks")
+
+
 def hash_chunks(hash_column: Column, chunks: int) -> Column:
     """Chunk of a 64-bit hash, rising with the hash, all about equal.
 
@@ -107,19 +122,20 @@ def number_in_group(
     order: Sequence[str],
     out: str = "position",
     size: str | None = None,
+    task_rows: int = TASK_ROWS,
     **heavy_options,
 ) -> DataFrame:
     """Zero-based position of each row in its group, and optionally the group size.
 
-    The first order column must be a number or a time and sort ascending.
+    The order columns sort ascending, nulls first.
     """
     keys, order = list(keys), list(order)
-    cold, hot = split_heavy(df, keys, **heavy_options)
+    cold, hot = split_heavy(df, keys, task_rows, **heavy_options)
     group = Window.partitionBy(*keys)
     plain = cold.withColumn(out, (F.row_number().over(group.orderBy(*order)) - 1).cast("long"))
     if size:
         plain = plain.withColumn(size, F.count("*").over(group))
     if hot is None:
         return plain
-    chunked = number_chunked(quantile_chunks(hot, order[0]), order, out, keys, size)
+    chunked = number_chunked(range_chunks(hot, [*keys, *order], task_rows), order, out, keys, size)
     return plain.unionByName(chunked)

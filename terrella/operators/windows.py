@@ -15,9 +15,10 @@ from terrella.operators.positions import (
     number_chunked,
     number_in_group,
     quantile_chunks,
+    range_chunks,
     running_offsets,
 )
-from terrella.operators.skew import null_safe_join, split_heavy
+from terrella.operators.skew import TASK_ROWS, null_safe_join, split_heavy
 from terrella.session import ensure_checkpoint_dir
 
 
@@ -64,15 +65,16 @@ def neighbour(
     value: str,
     default,
     out: str = "previous",
+    task_rows: int = TASK_ROWS,
     **heavy_options,
 ) -> DataFrame:
     """Value of the row before, within the group; ``default`` for the first row."""
     keys, order = list(keys), list(order)
-    cold, hot = split_heavy(df, keys, **heavy_options)
+    cold, hot = split_heavy(df, keys, task_rows, **heavy_options)
     plain = cold.withColumn(out, F.lag(value, 1, default).over(Window.partitionBy(*keys).orderBy(*order)))
     if hot is None:
         return plain
-    ranged = quantile_chunks(hot, order[0])
+    ranged = range_chunks(hot, [*keys, *order], task_rows)
     by = [*keys, CHUNK]
     # The last value of each chunk is what the first row of the next one sees.
     last = ranged.groupBy(*by).agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))

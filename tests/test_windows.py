@@ -53,6 +53,18 @@ def test_heavy_groups_give_the_same_rows(skewed, operator):
     assert rows(operator(nulls, SPLIT)) == rows(operator(nulls, PLAIN))
 
 
+@pytest.mark.parametrize("tied", [5, None])
+def test_one_order_value_in_a_heavy_group_is_cut_as_well(skewed, tied):
+    same = skewed.withColumn("o", F.lit(tied).cast("bigint"))
+    for operator in (
+        lambda o: positions.number_in_group(same, ["k"], ["o", "id"], "p", "n", **o),
+        lambda o: windows.neighbour(same, ["k"], ["o", "id"], "v", 777.0, **o),
+    ):
+        assert rows(operator(SPLIT)) == rows(operator(PLAIN))
+    chunks = positions.range_chunks(same.filter("k = 0"), ["k", "o", "id"], 30).groupBy(positions.CHUNK).count().collect()
+    assert len(chunks) == 10 and max(r["count"] for r in chunks) < 60
+
+
 def test_a_null_key_is_heavy_too(skewed):
     from terrella.operators.skew import split_heavy
 
