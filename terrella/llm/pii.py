@@ -1,16 +1,18 @@
 """Personal data: patterns, and terms that give protected entities away.
 
 Emails, addresses of machines, cards and phone numbers are found by patterns;
-their values are the protected entities. Over the whole corpus, the terms near
-the mentions of an entity are counted by document, and so is every candidate
-term anywhere. The pointwise mutual information between term t and entity c,
-
-    PMI(c, t) = log2(n_ct N / (n_c n_t)),
-
-measures how much of the entity's information IC(c) = log2(N / n_c) the term
-discloses. Terms that disclose at least ``share`` of it are removed where they
-occur with no other entity or document (all of it is disclosed), and
-generalised elsewhere. Only DataFrame functions are used.
+their values are the protected entities. Over the whole corpus, the documents
+that hold a term and mention an entity are counted, and so are those of every
+term and of every entity. The probability of entity c where term t stands is
+shrunk towards independence by ``prior`` documents, a, so that entities of one
+or two documents are judged by the same rule as others,
+
+    P(c | t) = (n_ct + a n_c / N) / (n_t + a),   PMI(c, t) = log2(P(c | t) N / n_c).
+
+The mutual information measures how much of the entity's information
+IC(c) = log2(N / n_c) the term discloses. Terms that disclose at least ``share``
+of it are removed if they occur in no document without the entity (all of it is
+disclosed), and generalised otherwise. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -19,16 +21,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrella.llm.common import materialize
-from terrella.llm.spans import count_kind, find_spans, joined, no_spans, replaced
+from terrella.llm.spans import blanked, count_kind, find_spans, joined, no_spans, replaced
 
 KINDS = ("email", "ip", "card", "phone")
 TERM, REMOVED = "term", "removed"
-#: Words on each side of a mention that count as near, and code points searched for them.
-REACH, REACH_CHARS = 8, 160
-#: Documents that must hold term and entity together before the estimate is used.
-SUPPORT = 3
+#: Documents without knowledge of the entity that are added to those of a term.
+PRIOR = 1.0
 #: Share of an entity's information that a term may not disclose.
 SHARE = 0.8
+#: Terms that may be broadcast (some tens of bytes each); more are joined by a shuffle.
+BROADCAST_TERMS = 200_000
+_KEYS = ("_pii_1", "_pii_2")
 
 # Possessive forms of the patterns. A match can only start at the border of a
 # run or where the last match ended, so no run is searched twice.
@@ -74,53 +77,60 @@ def base_spans(text: Column) -> Column:
     return F.concat(email, ip, card, phone)
 
 
-def _near_terms(text: Column, span: Column) -> Column:
-    """Words of four letters or more within ``REACH`` words of a span."""
-    first = F.greatest(F.lit(0), span["start"] - REACH_CHARS)
-    before = F.split(F.substring(text, first + 1, span["start"] - first), _WORD)
-    after = F.split(F.substring(text, span["end"] + 1, F.lit(REACH_CHARS)), _WORD)
-    # A word cut off by the reach is left out.
-    inner = F.when(first > 0, F.slice(before, 2, F.greatest(F.lit(0), F.size(before) - 1))).otherwise(before)
-    cut = F.length(text) - span["end"] > REACH_CHARS
-    outer = F.when(cut, F.slice(after, 1, F.greatest(F.lit(0), F.size(after) - 1))).otherwise(after)
-    inner, outer = F.filter(inner, lambda w: w != ""), F.filter(outer, lambda w: w != "")
-    last = F.slice(inner, F.greatest(F.lit(1), F.size(inner) - REACH + 1), F.lit(REACH))
-    words = F.transform(F.concat(last, F.slice(outer, 1, REACH)), F.lower)
-    return F.filter(words, lambda w: F.length(w) >= 4)
+def _words(text: Column) -> Column:
+    """Distinct words as they are written."""
+    return F.filter(F.array_distinct(F.split(text, _WORD)), lambda w: w != "")
 
 
 def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], F.lower(span["value"]))
 
 
-def disclosing_terms(docs: DataFrame, mentions: DataFrame, share: float, support: int) -> DataFrame:
-    """(entity, term, action) of the terms that disclose too much.
+def disclosing_terms(docs: DataFrame, share: float, prior: float) -> DataFrame:
+    """(term, action) of the terms that disclose too much of any entity.
 
-    ``mentions`` has one row per document with ``pairs``, its distinct (entity,
-    term) pairs, and ``entities``, its distinct entities. Counts are made over
-    all documents, and added up before each shuffle.
+    ``docs`` has the two hashes of ``_KEYS``, ``seen``, the text without its
+    mentions, and ``entities``, the distinct entities mentioned. Counts are made
+    over all documents, and added up before each shuffle. Entities of the same
+    documents are counted as one, as all their counts are equal.
     """
-    together = mentions.select(F.inline("pairs")).groupBy("entity", "term").agg(F.count("*").alias("n_ct"))
-    together = materialize(together.filter(F.col("n_ct") >= support), "pairs")
-    entities = mentions.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_c"))
-    # Words are counted inside each task first, so that no more than its vocabulary is shuffled or joined.
-    words = F.array_distinct(F.split(F.lower("text"), _WORD))
-    seen = docs.select(F.explode(words).alias("term")).filter(F.length("term") >= 4)
-    terms = seen.groupBy("term").agg(F.count("*").alias("n_t")).filter(F.col("n_t") >= support)
     total = docs.count()
-    pmi = F.log2(F.col("n_ct") * total / (F.col("n_c") * F.col("n_t")))
-    content = F.log2(F.lit(total) / F.col("n_c"))
-    scored = together.join(terms, "term").join(entities, "entity")
-    action = F.when(F.col("n_ct") == F.col("n_t"), REMOVED).otherwise(TERM)
-    return scored.filter((content > 0) & (pmi >= share * content)).select("entity", "term", action.alias("action"))
-
-
-def find_personal_data(docs: DataFrame, share: float = SHARE, support: int = SUPPORT) -> DataFrame:
+    lower = lambda words: F.array_distinct(F.transform(words, F.lower))
+    terms = docs.select(F.explode(lower(_words(F.col("seen")))).alias("term"))
+    terms = terms.groupBy("term").agg(F.count("*").alias("n_t"))
+    mentions = docs.filter(F.size("entities") > 0).groupBy(*_KEYS).agg(
+        F.first("entities").alias("entities"), F.first("seen").alias("seen"), F.count("*").alias("copies")
+    )
+    mentions = materialize(mentions, "mentions")
+    each = mentions.select(*_KEYS, "copies", F.explode("entities").alias("entity"))
+    alike = [F.bit_xor(k).alias(f"_of{k}") for k in _KEYS]
+    sets = each.groupBy("entity").agg(F.sum("copies").alias("n_c"), *alike)
+    group = ["n_c", *(f"_of{k}" for k in _KEYS)]
+    groups = materialize(each.join(sets, "entity").select(*_KEYS, *group).distinct(), "entities")
+
+    def discloses(n_ct: Column) -> Column:
+        known = (n_ct + prior * F.col("n_c") / total) / (F.col("n_t") + prior)
+        content = F.log2(F.lit(total) / F.col("n_c"))
+        # Some bits are lost to rounding where both sides are equal.
+        return (content > 0) & (F.log2(known * total / F.col("n_c")) >= share * content - 1e-9)
+
+    # A term too common for the most frequent entity of a document discloses none of them.
+    tops = groups.groupBy(*_KEYS).agg(F.max("n_c").alias("_top"))
+    held = mentions.join(tops, list(_KEYS)).select(*_KEYS, "copies", "_top", F.explode(lower(_words(F.col("seen")))).alias("term"))
+    most = F.log2((total + prior) / (F.col("n_t") + prior))
+    rare = held.join(terms, "term").filter(most >= share * F.log2(F.lit(total) / F.col("_top")) - 1e-9).drop("_top")
+    pairs = rare.join(groups, list(_KEYS)).filter(discloses(F.least("n_c", "n_t")))
+    counted = pairs.groupBy("term", "n_t", *group).agg(F.sum("copies").alias("n_ct")).filter(discloses(F.col("n_ct")))
+    whole = F.max(F.col("n_ct") == F.col("n_t"))
+    return counted.groupBy("term").agg(F.when(whole, REMOVED).otherwise(TERM).alias("action"))
+
+
+def find_personal_data(docs: DataFrame, share: float = SHARE, prior: float = PRIOR) -> DataFrame:
     """All documents with ``base`` and ``spans`` (base, then terms) and the sanitised ``clean`` text.
 
-    Term spans cover every occurrence, in a document, of a term that discloses
-    an entity this document mentions; those that touch a base span are left
-    out. In ``clean`` base spans read <EMAIL> and so on, generalised terms
+    Term spans cover every occurrence, in a document that mentions an entity, of
+    a term that discloses one; those that touch a base span are left out. In
+    ``clean`` base spans read <EMAIL> and so on, generalised terms
     <TERM>, and removed terms nothing. A null text counts as empty. Full copies
     of a row are counted as documents and treated alike; ``doc_id`` can be null
     or repeat. All columns of ``docs`` are kept; they must not be called
@@ -134,49 +144,36 @@ def find_personal_data(docs: DataFrame, share: float = SHARE, support: int = SUP
     )
     found = materialize(keyed.drop("_pii_text"), "personal-data")
     found = found.withColumn("_pii_text", F.coalesce("text", F.lit("")))
-    plain, mentioning = found.filter(F.size("base") == 0), found.filter(F.size("base") > 0)
-    near = F.flatten(
-        F.transform(
-            "base",
-            lambda s: F.transform(
-                _near_terms(F.col("_pii_text"), s), lambda w: F.struct(_entity(s).alias("entity"), w.alias("term"))
-            ),
-        )
-    )
-    mentions = mentioning.select(
-        "_pii_1", "_pii_2",
-        F.array_distinct(near).alias("pairs"),
+    seen = found.select(
+        *_KEYS,
+        blanked(F.col("_pii_text"), F.col("base")).alias("seen"),
         F.array_distinct(F.transform("base", _entity)).alias("entities"),
     )
-    mentions = materialize(mentions, "mentions")
-    disclosing = materialize(
-        disclosing_terms(found.select(F.col("_pii_text").alias("text")), mentions, share, support), "disclosing"
+    disclosing = materialize(disclosing_terms(seen, share, prior), "disclosing")
+    if disclosing.count() <= BROADCAST_TERMS:
+        disclosing = F.broadcast(disclosing)
+    held = seen.filter(F.size("entities") > 0).select(*_KEYS, F.explode(_words(F.col("seen"))).alias("word"))
+    hits = held.join(disclosing, F.lower("word") == F.col("term"))
+    hits = hits.groupBy(*_KEYS).agg(
+        F.collect_set("word").alias("_pii_words"),
+        F.collect_set(F.when(F.col("action") == REMOVED, F.col("word"))).alias("_pii_gone"),
     )
-    hits = mentions.select("_pii_1", "_pii_2", F.inline("pairs")).join(disclosing, ["entity", "term"])
-    hits = hits.groupBy("_pii_1", "_pii_2").agg(
-        F.collect_set(F.when(F.col("action") == TERM, F.col("term"))).alias("_pii_terms"),
-        F.collect_set(F.when(F.col("action") == REMOVED, F.col("term"))).alias("_pii_gone"),
-    )
-    marked = mentioning.join(hits, ["_pii_1", "_pii_2"], "left")
-
-    def occurrences(terms: str, kind: str) -> Column:
-        # Longer terms first is not needed: a match must be a whole word.
-        pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(terms, "|"), F.lit(r")(?!\p{L})"))
-        spans = F.when(F.size(terms) > 0, find_spans(F.col("_pii_text"), pattern, kind)).otherwise(no_spans())
-        apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return F.coalesce(F.filter(spans, apart), no_spans())
+    marked = found.join(materialize(hits, "term-hits"), list(_KEYS), "left")
 
+    # Words as they are written have letters only and match as a whole, so their order does not matter.
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("_pii_words", "|"), F.lit(r")(?!\p{L})"))
+    spans = find_spans(blanked(F.col("_pii_text"), F.col("base")), pattern, TERM)
+    kind = lambda s: F.when(F.array_contains("_pii_gone", s["value"]), REMOVED).otherwise(TERM)
+    spans = F.transform(spans, lambda s: s.withField("kind", kind(s)))
     marked = marked.withColumn(
-        "spans", F.concat("base", occurrences("_pii_terms", TERM), occurrences("_pii_gone", REMOVED))
+        "spans", F.when(F.col("_pii_words").isNull(), F.col("base")).otherwise(F.concat("base", spans))
     )
 
     def by(span: Column) -> Column:
         return F.when(span["kind"] == REMOVED, "").otherwise(F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">")))
 
     marked = marked.withColumn("clean", replaced(F.col("_pii_text"), F.col("spans"), by))
-    plain = plain.withColumn("spans", F.col("base")).withColumn("clean", F.col("_pii_text"))
-    out = [*columns, "base", "spans", "clean"]
-    return plain.select(*out).unionByName(marked.select(*out))
+    return marked.select(*columns, "base", "spans", "clean")
 
 
 def personal_data_digest(docs: DataFrame) -> DataFrame:

@@ -49,6 +49,25 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with a space for each code point of the spans, so that offsets stay."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.substring(text, acc["at"] + 1, F.greatest(F.lit(0), s["start"] - acc["at"]))
+        space = F.repeat(F.lit(" "), F.greatest(F.lit(0), s["end"] - F.greatest(acc["at"], s["start"])))
+        return F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["parts"], F.array(gap, space)).alias("parts")
+        )
+
+    def finish(acc: Column) -> Column:
+        rest = F.substring(text, acc["at"] + 1, F.greatest(F.lit(0), F.length(text) - acc["at"]))
+        return F.concat(F.array_join(acc["parts"], ""), rest)
+
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(ordered, zero, step, finish))
+
+
 def replaced(text: Column, spans: Column, replacement) -> Column:
     """The text with each span replaced by ``replacement(span)``; overlapping spans count as one, the first."""
     ordered = F.array_sort(

@@ -212,6 +212,20 @@ def test_terms_that_disclose_an_entity_are_sanitised(spark):
     assert clean[12] == rows[6][1]
 
 
+def test_entities_of_one_or_two_documents_have_disclosing_terms(spark):
+    far = " ".join(["plain filler words"] * 60)
+    rows = [(1, f"Zorbax wrote this. {far} Mail jo@ex.org for more. Zorbax, again"), (2, "Ask quibly at 10.1.2.3")]
+    rows += [(3, f"plain talk by Quibly of 10.1.2.3 {far}"), (4, "all by itself here")]
+    rows += [(10 + i, f"ask for more plain filler words at this mail wrote again talk by of {i}") for i in range(60)]
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    rows_of = {r["doc_id"]: r for r in found.collect()}
+    clean = {d: r["clean"] for d, r in rows_of.items()}
+    assert "orbax" not in clean[1] and clean[1].startswith(" wrote this. plain filler") and "<EMAIL>" in clean[1]
+    assert clean[2] == "Ask  at <IP>" and clean[3] == f"plain talk by  of <IP> {far}"
+    assert [(s["kind"], s["value"]) for s in rows_of[3]["spans"]] == [("ip", "10.1.2.3"), ("removed", "Quibly")]
+    assert clean[4] == "all by itself here"
+
+
 def test_secrets_match_brute_force(both):
     patterns = (
         ("assign", r"(?a:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 8),
