@@ -128,9 +128,9 @@ def disclosing_terms(docs: DataFrame, share: float, prior: float) -> DataFrame:
 def find_personal_data(docs: DataFrame, share: float = SHARE, prior: float = PRIOR) -> DataFrame:
     """All documents with ``base`` and ``spans`` (base, then terms) and the sanitised ``clean`` text.
 
-    Term spans cover every occurrence, in a document that mentions an entity, of
-    a term that discloses one; those that touch a base span are left out. In
-    ``clean`` base spans read <EMAIL> and so on, generalised terms
+    Term spans cover every occurrence, in any document, of a term that discloses
+    an entity, wherever that is mentioned; those that touch a base span are left
+    out. In ``clean`` base spans read <EMAIL> and so on, generalised terms
     <TERM>, and removed terms nothing. A null text counts as empty. Full copies
     of a row are counted as documents and treated alike; ``doc_id`` can be null
     or repeat. All columns of ``docs`` are kept; they must not be called
@@ -152,7 +152,7 @@ def find_personal_data(docs: DataFrame, share: float = SHARE, prior: float = PRI
     disclosing = materialize(disclosing_terms(seen, share, prior), "disclosing")
     if disclosing.count() <= BROADCAST_TERMS:
         disclosing = F.broadcast(disclosing)
-    held = seen.filter(F.size("entities") > 0).select(*_KEYS, F.explode(_words(F.col("seen"))).alias("word"))
+    held = seen.select(*_KEYS, F.explode(_words(F.col("seen"))).alias("word"))
     hits = held.join(disclosing, F.lower("word") == F.col("term"))
     hits = hits.groupBy(*_KEYS).agg(
         F.collect_set("word").alias("_pii_words"),

@@ -226,6 +226,18 @@ def test_entities_of_one_or_two_documents_have_disclosing_terms(spark):
     assert clean[4] == "all by itself here"
 
 
+def test_disclosing_terms_go_from_all_documents(spark):
+    far = " ".join(["plain filler words"] * 60)
+    rows = [(i, f"call zorbax about jo@ex.org today, version {i}") for i in range(8)]
+    rows += [(8, f"Zorbax! {far} jo@ex.org {far} zorbax's"), (9, "Ask ZORBAX, not zorbaxes, today.")]
+    rows += [(10 + i, f"ask or call someone else about lunch today, version {i} s not {far}") for i in range(40)]
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    clean = {r["doc_id"]: r["clean"] for r in found.collect()}
+    assert clean[0] == "call <TERM> about <EMAIL> today, version 0"
+    assert clean[8] == f"<TERM>! {far} <EMAIL> {far} <TERM>'s"
+    assert clean[9] == "Ask <TERM>, not zorbaxes, today." and clean[12] == rows[12][1]
+
+
 def test_secrets_match_brute_force(both):
     patterns = (
         ("assign", r"(?a:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 8),
