@@ -29,8 +29,8 @@ TERM, REMOVED = "term", "removed"
 PRIOR = 1.0
 #: Share of an entity's information that a term may not disclose.
 SHARE = 0.8
-#: Terms that may be broadcast (some tens of bytes each); more are joined by a shuffle.
-BROADCAST_TERMS = 200_000
+#: Buckets of terms: so many numbers (16 bytes each) are broadcast at most.
+BUCKETS = 1 << 22
 _KEYS = ("_pii_1", "_pii_2")
 
 # Possessive forms of the patterns. A match can only start at the border of a
@@ -86,6 +86,10 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], F.lower(span["value"]))
 
 
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS))
+
+
 def disclosing_terms(docs: DataFrame, share: float, prior: float) -> DataFrame:
     """(term, action) of the terms that disclose too much of any entity.
 
@@ -142,23 +146,22 @@ def find_personal_data(docs: DataFrame, share: float = SHARE, prior: float = PRI
     keyed = keyed.withColumn("_pii_1", F.xxhash64("doc_id", "_pii_text")).withColumn(
         "_pii_2", F.xxhash64("_pii_text", F.lit("second"))
     )
-    found = materialize(keyed.drop("_pii_text"), "personal-data")
-    found = found.withColumn("_pii_text", F.coalesce("text", F.lit("")))
-    seen = found.select(
+    seen = keyed.select(
         *_KEYS,
         blanked(F.col("_pii_text"), F.col("base")).alias("seen"),
         F.array_distinct(F.transform("base", _entity)).alias("entities"),
     )
     disclosing = materialize(disclosing_terms(seen, share, prior), "disclosing")
-    if disclosing.count() <= BROADCAST_TERMS:
-        disclosing = F.broadcast(disclosing)
-    held = seen.select(*_KEYS, F.explode(_words(F.col("seen"))).alias("word"))
-    hits = held.join(disclosing, F.lower("word") == F.col("term"))
+    # Words whose bucket no term is in are left out before the shuffle; buckets have a bound, terms have none.
+    taken = F.broadcast(disclosing.select(_bucket(F.col("term")).alias("bucket")).distinct())
+    held = seen.select(*_KEYS, F.explode(_words(F.col("seen"))).alias("word")).withColumn("term", F.lower("word"))
+    held = held.join(taken, _bucket(F.col("term")) == F.col("bucket"), "left_semi")
+    hits = held.join(disclosing, "term")
     hits = hits.groupBy(*_KEYS).agg(
         F.collect_set("word").alias("_pii_words"),
         F.collect_set(F.when(F.col("action") == REMOVED, F.col("word"))).alias("_pii_gone"),
     )
-    marked = found.join(materialize(hits, "term-hits"), list(_KEYS), "left")
+    marked = keyed.join(materialize(hits, "term-hits"), list(_KEYS), "left")
 
     # Words as they are written have letters only and match as a whole, so their order does not matter.
     pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("_pii_words", "|"), F.lit(r")(?!\p{L})"))
