@@ -12,7 +12,7 @@ DataFrame functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrella.llm.common import materialize
@@ -111,8 +111,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, lea
     A document holds an item if at least ``least`` of the item's windows (all,
     if it has fewer) match along alignments with consistent slots. ``exact``
     tells that all slot values are equal. Items shorter than ``width`` template
-    words, but of ``LITERALS`` literal words, are matched as one window of their
-    own length. Null texts are empty and match nothing. A null or repeated
+    words are matched as one window of their own length. An item none of whose
+    windows has ``LITERALS`` literal words is found where all its windows match
+    along one alignment with equal slot values. Null texts are empty and match nothing. A null or repeated
     ``doc_id`` is told apart by a hash of the text; full copies of a row count
     once. Empty tables give an empty result; other columns are ignored.
     """
@@ -127,7 +128,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, least: in
     items = benchmark.select("item_id", "text").distinct()
     lengths = items.select(F.least(F.lit(width), F.size(template(F.col("text")))).alias("n")).distinct()
     found = None
-    for n in sorted(r["n"] for r in lengths.collect() if r["n"] >= LITERALS):  # at most width - LITERALS + 1 values
+    for n in sorted(r["n"] for r in lengths.collect() if r["n"] >= 1):  # at most width values
         short = items if n == width else items.filter(F.size(template(F.col("text"))) == n)
         matches = _matches(docs, short, n, least)
         found = matches if found is None else found.unionByName(matches)
@@ -139,8 +140,11 @@ def _found(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, least: in
 
 def _matches(docs: DataFrame, items: DataFrame, width: int, least: int) -> DataFrame:
     asked = items.join(_gathered(windows(items, width, "item_id"), "item_id"), "item_id")
-    wanted = with_slots(asked, width, "item_id").filter(F.col("literals") >= min(LITERALS, width))
-    wanted = materialize(wanted, "benchmark-windows")
+    # Items without a window of enough literals keep all their windows, and must be met by all, word for word.
+    item = Window.partitionBy("item_id")
+    wanted = with_slots(asked, width, "item_id").withColumn("whole", F.max("literals").over(item) < LITERALS)
+    wanted = wanted.filter(F.col("whole") | (F.col("literals") >= LITERALS))
+    wanted = materialize(wanted.withColumn("item_windows", F.count("*").over(item)), "benchmark-windows")
     hashes = wanted.select("hash").distinct()
     if wanted.count() <= BROADCAST_ROWS:
         hashes = F.broadcast(hashes)
@@ -153,17 +157,18 @@ def _matches(docs: DataFrame, items: DataFrame, width: int, least: int) -> DataF
     spread = with_slots(matched, width, "doc_id", "_h").select(
         "doc_id", "_h", "hash", F.col("pos").alias("_at"), F.col("slots").alias("_theirs")
     )
-    paired = spread.join(wanted, "hash").select(
-        "doc_id", "_h", "item_id", "pos", (F.col("_at") - F.col("pos")).alias("_shift"),
+    paired = spread.join(wanted, "hash").filter(~F.col("whole") | (F.col("slots") == F.col("_theirs"))).select(
+        "doc_id", "_h", "item_id", "pos", "whole", "item_windows", (F.col("_at") - F.col("pos")).alias("_shift"),
         F.arrays_zip(F.col("slots").alias("a"), F.col("_theirs").alias("b")).alias("_pairs"),
     )
     # An alignment has at most as many windows as the item.
-    aligned = paired.groupBy("doc_id", "_h", "item_id", "_shift").agg(
+    aligned = paired.groupBy("doc_id", "_h", "item_id", "whole", "item_windows", "_shift").agg(
         F.collect_set("pos").alias("_at"), F.array_distinct(F.flatten(F.collect_list("_pairs"))).alias("_pairs")
     )
     distinct = lambda field: F.size(F.array_distinct(F.transform("_pairs", lambda p: p[field])))
     pairs = F.size("_pairs")
-    consistent = aligned.filter((distinct("a") == pairs) & (distinct("b") == pairs))
+    aligned = aligned.filter(~F.col("whole") | (F.size("_at") == F.col("item_windows")))
+    consistent = aligned.filter(F.col("whole") | ((distinct("a") == pairs) & (distinct("b") == pairs)))
     exact = F.forall("_pairs", lambda p: p["a"] == p["b"])
     total = wanted.groupBy("item_id").agg(F.countDistinct("pos").alias("item_windows"))
     # Alignments with at least some windows in common are pieces of one occurrence.

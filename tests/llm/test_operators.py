@@ -400,3 +400,14 @@ def test_slots_must_be_consistent(spark):
     rows = [(1, "Well, " + asked.format(90, 2, 2) + " Fine."), (2, asked.format(90, 2, 4)), (3, asked.format(120, 3, 3)), (4, None)]
     found = decontam.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), benchmark).collect()
     assert {(r["doc_id"], r["exact"]) for r in found} == {(1, False), (3, True)}
+
+
+def test_items_of_few_literals_are_found_as_a_whole(spark):
+    items = ["What is 12 + 34 + 56 * 7 - 8?", "3 km in 2 h and 5 km in 4 h or 7 km in 6 h", "Is 91 prime?"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    rows = [(i, f"Here we go: {t} Let me see.") for i, t in enumerate(items)]
+    rows += [(9, "Now what is 12 + 34 + 56 * 7 - 9? Or 3 km in 2 h and 5 km in 4 h or 7 km in 5 h? Is 93 prime?")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = decontam.contaminated(docs, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"], r["exact"]) for r in found} == {(i, i, True) for i in range(3)}
+    assert [r["doc_id"] for r in decontam.without_contaminated(docs, benchmark).collect()] == [9]
