@@ -11,8 +11,12 @@ from terrella.llm import (
     decontam,
     fingerprints,
     langid,
+    lexical,
+    manifest,
+    mixing,
     near_dedup,
     ngram_lm,
+    oracles,
     packing,
     pii,
     secrets,
@@ -72,6 +76,18 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.manifest_digest(table(spark, folder, "documents"))
+
+
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_digest(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name to function of (session, data folder), by operator number."""
     return {
@@ -87,10 +103,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_sharding,
             op9_near_dedup,
             op10_decontamination,
+            op11_lexical_search,
+            op12_merkle_manifest,
+            op13_mixing,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL of the queries that SQL can express: none yet; the others are tested by brute force in tests/llm."""
-    return {}
+    """SQL of the queries that SQL can express; the others are tested by brute force in tests/llm."""
+    return {
+        "op11_lexical_search": oracles.OP11,
+        "op12_merkle_manifest": oracles.OP12,
+        "op13_mixing": oracles.OP13,
+    }
