@@ -23,6 +23,7 @@ from terrella.functions.numeric import drawn_bits
 from terrella.llm.common import materialize, prepare
 from terrella.operators.joins import broadcast_if_small
 from terrella.operators.positions import CHUNK, number_chunked, range_chunks, running_offsets
+from terrella.operators.skew import null_safe_join
 
 #: (moment, weight) knots, dealt to the sources in order, again and again: weights 5, 2 and 1 on the whole, the
 #: heaviest falling over training and the lightest rising.
@@ -110,7 +111,7 @@ def plan_mix(
     and the columns of ``carry``): ``entries`` lists (pass, words, at), the
     number of the pass, how many of the row's first words it takes, and when in
     training. It is empty for rows that are not taken. ``_chunk`` and ``_number``
-    name the row, ``_base`` is where its source's words before it end.
+    name the row in its source, ``_base`` is the source's words before it.
 
     The order within a source is drawn from seed, id and text, so that reruns
     agree; full copies are interchangeable. A null or empty text has size 0 and
@@ -206,9 +207,8 @@ def mix_digest(docs: DataFrame, **options) -> DataFrame:
     row's first entry; null if it is not taken.
     """
     plan = materialize(plan_mix(docs, **options), "plan")
-    first = training_order(plan).groupBy(CHUNK, "_number").agg(F.min("position").alias("first_position"))
-    first = first.withColumnsRenamed({CHUNK: "_c", "_number": "_n"})
+    row = ["source", CHUNK, "_number"]
+    first = training_order(plan).groupBy(*row).agg(F.min("position").alias("first_position"))
     taken = F.aggregate("entries", F.lit(0).cast("long"), lambda total, e: total + e["words"])
-    rows = plan.withColumn("taken", taken)
-    met = rows.join(first, (F.col(CHUNK) == F.col("_c")) & (F.col("_number") == F.col("_n")), "left")
+    met = null_safe_join(plan.withColumn("taken", taken), first, row, "left")
     return met.select("doc_id", "size", "source_size", "target", "taken", "first_position")

@@ -81,11 +81,11 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_
   k AS (SELECT source, sum(size)::BIGINT AS source_size,
       [5e0, 2e0, 1e0][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight
     FROM d GROUP BY source),
-  c AS (SELECT *, coalesce(sum(3 * source_size) OVER e, 0)::BIGINT AS capped, sum(weight) OVER (e) AS used
+  c AS (SELECT *, coalesce(sum(3 * source_size) OVER e, 0)::BIGINT AS capped, sum(weight) OVER e AS used
     FROM k WINDOW e AS (ORDER BY 3 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
   l AS (SELECT ((SELECT sum(source_size) FROM k)::BIGINT - capped) / ((SELECT sum(weight) FROM k) - coalesce(used, 0e0)) AS level,
       3 * source_size / weight AS ratio FROM c),
-  v AS (SELECT coalesce(min(level) FILTER (WHERE level <= ratio), 0e0) AS level FROM l),
+  v AS (SELECT coalesce(arg_min(level, ratio) FILTER (WHERE level <= ratio), 0e0) AS level FROM l),
   g AS (SELECT source, source_size, least((3 * source_size)::DOUBLE, weight * level) AS target FROM k, v),
   a AS (SELECT r, doc_id, size, d.source, source_size, target, floor(target + 5e-1)::BIGINT AS goal,
       CAST('0x' || substr(md5(concat_ws('-', '13', coalesce(doc_id::VARCHAR, ''), content)), 1, 15) AS BIGINT) AS draw, content
