@@ -6,15 +6,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from terrella.catalog.registry import drawn_bits_sql, query
-from terrella.learning import models
+from terrella.functions.numeric import round_half_even, sigmoid
+from terrella.learning import boosting, models
 from terrella.learning.early_stop import early_stop_round
 from terrella.learning.linear import gradient_step as step
 from terrella.learning.linear import gradient_step_vector, predict_line
 from terrella.learning.splits import in_test_set, split_by, split_seeded
 from terrella.operators.columns import array_to_columns, assemble
 from terrella.operators.metrics import regression_error
-from terrella.operators.partitions import keep, pin
+from terrella.operators.partitions import pin
 from terrella.plans.trips import trip_features
+from terrella.plans.views import with_views
 from terrella.sources import generators
 
 _ITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -123,15 +125,13 @@ def boosted_table(t):
 
 
 def _boosted(t):
-    names = ["hour", "noisy_value", "user_group"]
-    rows = assemble(boosted_table(t), names).select("event_id", "y", "features")
-    train, valid = map(pin, split_seeded(rows, ["event_id"], test_share=0.33, seed=42))
-    model, _ = models.fit_boosted(train, valid, "y")
-    scored = models.predict_margin(model, valid)
-    scored = keep(scored.select("event_id", "y", "margin", "probability_1", "label_1", "prediction"), "scored")
-    train.unpersist()
-    valid.unpersist()
-    return scored
+    """Held-out events with their margin under the best rounds of one training."""
+    rows = boosted_table(t).withColumn("features", F.array("hour", "noisy_value", "user_group"))
+    held_out = in_test_set(["event_id"], test_share=0.33, seed=42)
+    model, _ = boosting.fit_trees(rows, "features", "y", held_out=held_out)
+    scored = rows.filter(held_out).withColumn("margin", model.margin(F.col("features")))
+    scored = scored.withColumn("probability_1", sigmoid(F.col("margin")))
+    return scored.withColumn("label_1", round_half_even(F.col("probability_1")))
 
 
 @query("gbt_fit_predict")
@@ -141,7 +141,56 @@ def gbt_fit_predict(t):
 
 @query("gbt_margin_predict")
 def gbt_margin_predict(t):
-    return _boosted(t).select("event_id", "margin", "probability_1", "label_1", F.col("prediction").cast("int").alias("prediction"))
+    prediction = (F.col("margin") > 0).cast("int").alias("prediction")
+    return _boosted(t).select("event_id", "margin", "probability_1", "label_1", prediction)
+
+
+def cautious(margin, label):
+    """Log-loss in which a missed 1 counts twice."""
+    gradient, hessian = boosting.logistic(margin, label)
+    return gradient * (1 + label), hessian * (1 + label)
+
+
+def _splits_sql(level: int, nodes: str) -> str:
+    """Best split of each node, from rows (event_id, node) of ``nodes``."""
+    score = lambda g, h: f"({g}) * ({g}) / (({h}) + 1)"
+    gain = f"({score('lg', 'lh')} + {score('ag - lg', 'ah - lh')} - {score('ag', 'ah')}) / 2"
+    return f"""s{level} AS (SELECT node, feature, bin, sum(g) AS g, sum(h) AS h, count(*) AS n FROM codes JOIN {nodes} USING (event_id) GROUP BY ALL),
+  t{level} AS (SELECT node, feature, bin, sum(g) OVER w AS lg, sum(h) OVER w AS lh, CAST(sum(n) OVER w AS BIGINT) AS ln,
+      sum(g) OVER a AS ag, sum(h) OVER a AS ah, CAST(sum(n) OVER a AS BIGINT) AS an
+    FROM s{level} WINDOW w AS (PARTITION BY node, feature ORDER BY bin), a AS (PARTITION BY node, feature)),
+  b{level} AS (SELECT DISTINCT ON (node) node, feature, bin, lg, lh, ln, ag, ah, an, {gain} AS gain FROM t{level} WHERE ln < an
+    ORDER BY node, round({gain}, 9) DESC, feature, bin),
+  n{level} AS (SELECT event_id, 2 * node + CASE WHEN c.bin <= b.bin THEN 1 ELSE 2 END AS node
+    FROM {nodes} JOIN b{level} AS b USING (node) JOIN codes AS c USING (event_id, feature))"""
+
+
+_EIGHTHS = ", ".join(f"{i / 8}" for i in range(1, 8))
+
+_FIRST_TREE = f"""{with_views("scored")},
+  rows_ AS (SELECT event_id, (score - y) * (1 + y) AS g, score * (1 - score) * (1 + y) AS h,
+      CAST(hour(ts) AS DOUBLE) AS f0, CAST(user_id % 50 AS DOUBLE) AS f1, floor(value / 5) AS f2 FROM scored JOIN events USING (event_id)),
+  long AS (SELECT event_id, g, h, unnest([0, 1, 2]) AS feature, unnest([f0, f1, f2]) AS v FROM rows_),
+  cuts AS (SELECT feature, list_distinct(quantile_disc(v, [{_EIGHTHS}])) AS q FROM long GROUP BY feature),
+  codes AS (SELECT event_id, g, h, feature, 1 + len(list_filter(q, lambda x: x < v)) AS bin FROM long JOIN cuts USING (feature)),
+  root AS (SELECT event_id, 0 AS node FROM rows_),
+  {_splits_sql(0, "root")}, {_splits_sql(1, "n0")},
+  parts AS (SELECT * FROM b0 UNION ALL SELECT * FROM b1),
+  inner_ AS (SELECT node, feature, list_sort(q)[bin] AS border, gain, -ag / (ah + 1) AS value, an AS n FROM parts JOIN cuts USING (feature)),
+  leaves AS (SELECT 2 * node + 1 AS node, NULL AS feature, NULL AS border, 0e0 AS gain, -lg / (lh + 1) AS value, ln AS n FROM b1
+    UNION ALL SELECT 2 * node + 2, NULL, NULL, 0e0, -(ag - lg) / (ah - lh + 1), an - ln FROM b1)
+  SELECT CAST(node AS INT) AS node, CAST(feature AS INT) AS feature, border, round(gain, 4) AS gain, round(value, 6) AS value, n AS rows
+  FROM (SELECT * FROM inner_ UNION ALL SELECT * FROM leaves)"""
+
+
+@query("gbt_custom_objective", _FIRST_TREE)
+def gbt_custom_objective(t):
+    """First tree of an own objective, grown on top of the margins of ``scored``."""
+    features = F.array(F.hour("ts").cast("double"), (F.col("user_id") % 50).cast("double"), F.floor(F.col("value") / 5).cast("double"))
+    rows = t.scored.join(t.events.select("event_id", features.alias("features")), "event_id")
+    model, _ = boosting.fit_trees(rows, "features", "y", cautious, margin="margin", rounds=1, depth=2, bins=8)
+    nodes = model.nodes(t.spark).drop("tree", "bin")
+    return nodes.withColumn("gain", F.round("gain", 4)).withColumn("value", F.round("value", 6))
 
 
 _CURVE = """WITH c AS (SELECT event_type AS run, CAST(day(ts) AS INT) AS round, round(avg(value), 6) AS metric
