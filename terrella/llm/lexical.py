@@ -241,7 +241,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
         scored = _scored(pairs, rarest, k)
         result = scored if result is None else result.unionByName(scored)
     if result is None:
-        return named.sparkSession.createDataFrame([], named.select("item_id").schema.add("rank", "int").add("doc_id", "long").add("score", "long"))
+        return named.sparkSession.createDataFrame([], named.select("item_id").schema.add("rank", "integer").add("doc_id", "long").add("score", "long"))
     order = [F.desc("score"), F.asc("doc_id")]
     salted = result.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
     near = salted.withColumn("_place", F.row_number().over(Window.partitionBy("query", "_salt").orderBy(*order)))
