@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import functions as F
 
 from terrella.catalog.registry import drawn_bits_sql, query
 from terrella.functions.numeric import round_half_even, sigmoid
-from terrella.learning import boosting, models
+from terrella.functions.vectors import argmax, softmax
+from terrella.learning import boosting, models, network
 from terrella.learning.early_stop import early_stop_round
 from terrella.learning.linear import gradient_step as step
 from terrella.learning.linear import gradient_step_vector, predict_line
@@ -233,11 +234,74 @@ def batch_predict(t):
 
 @query("mlp_fit_predict")
 def mlp_fit_predict(t):
-    rows = models.vectors(t.embeddings, "embedding").select("vec_id", "features", F.col("label").cast("double").alias("label"))
-    model = models.fit_perceptron(rows, [64, 32, 10])
-    scored = model.transform(rows)
-    top = F.array_max(vector_to_array("probability"))
-    return scored.select("vec_id", F.col("label").cast("int"), F.col("prediction").cast("int"), top.alias("confidence"))
+    """Label and confidence of held-out vectors, by a network trained on the others."""
+    rows, test = split_seeded(t.embeddings.select("vec_id", "embedding", "label"), ["vec_id"], test_share=0.25, seed=7)
+    start = network.Training(network.Network.drawn([64, 32, 10]), network.Adam(rate=0.01))
+    trained = network.train(rows, "embedding", "label", "vec_id", start, epochs=6, batch_rows=max(64, rows.count() // 6), shards=2)
+    scored = test.withColumn("_p", softmax(trained.network.logits(F.col("embedding"))))
+    return scored.select(
+        "vec_id", F.col("label").cast("int"), argmax(F.col("_p")).alias("prediction"), F.array_max("_p").alias("confidence")
+    )
+
+
+#: Weights of a 2-2-2 network: per layer the matrix row by row, then the biases.
+_SMALL = (0.5, -0.4, 0.3, 0.2, 0.1, -0.1, 0.6, -0.3, -0.2, 0.4, 0.05, -0.05)
+_SMALL_SHARDS, _SMALL_RATE = 4, 0.5
+
+
+def _step_sql(step: int) -> str:
+    """One batch forward, backward, and the weights after it."""
+    w = [f"w{i}" for i in range(12)]
+    terms = [f"e{j} * x{i}" for i in (0, 1) for j in (0, 1)] + ["e0", "e1"]
+    terms += [f"d{j} * a{i}" for i in (0, 1) for j in (0, 1)] + ["d0", "d1"]
+    moved = ", ".join(f"any_value(w{i}) - {_SMALL_RATE} * avg({term}) AS w{i}" for i, term in enumerate(terms))
+    return f"""h{step} AS (SELECT cut.*, {", ".join(w)}, greatest(x0 * w0 + x1 * w2 + w4, 0e0) AS a0, greatest(x0 * w1 + x1 * w3 + w5, 0e0) AS a1
+    FROM cut, u{step} WHERE batch = {step}),
+  z{step} AS (SELECT *, a0 * w6 + a1 * w8 + w10 AS z0, a0 * w7 + a1 * w9 + w11 AS z1 FROM h{step}),
+  d{step} AS (SELECT *, 1 / (1 + exp(z1 - z0)) - (y = 0)::INT AS d0, 1 / (1 + exp(z0 - z1)) - (y = 1)::INT AS d1,
+      ln(exp(z0) + exp(z1)) - CASE y WHEN 0 THEN z0 ELSE z1 END AS loss, (z1 > z0)::INT = y AS hit FROM z{step}),
+  e{step} AS (SELECT *, CASE WHEN a0 > 0 THEN d0 * w6 + d1 * w7 ELSE 0e0 END AS e0, CASE WHEN a1 > 0 THEN d0 * w8 + d1 * w9 ELSE 0e0 END AS e1 FROM d{step}),
+  u{step + 1} AS (SELECT {moved} FROM e{step})"""
+
+
+_TWO_STEPS = f"""WITH m AS (SELECT embedding[1]::DOUBLE AS x0, embedding[2]::DOUBLE AS x1, label % 2 AS y,
+      row_number() OVER (ORDER BY {drawn_bits_sql(15, "vec_id", 0)}, vec_id) - 1 AS pos, count(*) OVER () AS n FROM embeddings),
+  p AS (SELECT *, CAST(ceil(n / {_SMALL_SHARDS}e0) AS BIGINT) AS slots FROM m),
+  dealt AS (SELECT *, unnest(range(pos, slots * {_SMALL_SHARDS}, n)) // {_SMALL_SHARDS} AS slot FROM p),
+  cut AS (SELECT x0, x1, y, CAST(slot // CAST(ceil(slots / 2e0) AS BIGINT) AS INT) AS batch FROM dealt),
+  u0 AS (SELECT {", ".join(f"{w}::DOUBLE AS w{i}" for i, w in enumerate(_SMALL))}),
+  {_step_sql(0)}, {_step_sql(1)}"""
+
+
+def _two_steps(t):
+    """One epoch of two batches over all vectors, dealt to four shards."""
+    rows = t.embeddings.select("vec_id", F.slice("embedding", 1, 2).alias("x"), (F.col("label") % 2).alias("y"))
+    slots = -(-rows.count() // _SMALL_SHARDS)
+    start = network.Training(network.Network((2, 2, 2), np.array(_SMALL)), network.Descent(_SMALL_RATE))
+    return network.train(rows, "x", "y", "vec_id", start, epochs=1, batch_rows=_SMALL_SHARDS * -(-slots // 2), shards=_SMALL_SHARDS)
+
+
+@query(
+    "train_network",
+    _TWO_STEPS
+    + """ SELECT CAST(substr(name, 2) AS INT) AS pos, round(value, 6) AS weight FROM (UNPIVOT u2 ON COLUMNS(*) INTO NAME name VALUE value)""",
+)
+def train_network(t):
+    """All weights after two bulk-synchronous steps."""
+    found = [(i, float(w)) for i, w in enumerate(_two_steps(t).network.weights)]
+    return t.spark.createDataFrame(found, "pos int, weight double").withColumn("weight", F.round("weight", 6))
+
+
+@query(
+    "train_network_loss",
+    _TWO_STEPS
+    + """ SELECT 0 AS epoch, round(sum(loss), 4) AS loss, count(*) AS rows, round(avg(hit::INT), 6) AS accuracy
+      FROM (SELECT loss, hit FROM d0 UNION ALL SELECT loss, hit FROM d1)""",
+)
+def train_network_loss(t):
+    """Loss and accuracy of an epoch, each batch under the weights it met."""
+    told = _two_steps(t).losses(t.spark)
+    return told.withColumn("loss", F.round("loss", 4)).withColumn("accuracy", F.round("accuracy", 6))
 
 
 @query(
