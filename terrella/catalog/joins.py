@@ -8,7 +8,8 @@ from terrella.catalog.files import merge_tables
 from terrella.catalog.functions import haversine_sql
 from terrella.catalog.registry import query
 from terrella.operators import joins as ops
-from terrella.operators.knn import k_nearest
+from terrella.operators import matrix
+from terrella.operators.knn import k_nearest, k_nearest_in_passes
 from terrella.operators.metrics import class_means
 from terrella.plans.rainfall import CITIES, RADIUS_KM
 from terrella.plans.views import with_views
@@ -109,6 +110,19 @@ def knn_exact(t):
     return found.withColumn("distance", F.round("distance", 6))
 
 
+@query(
+    "knn_all",
+    """WITH d AS (SELECT q.vec_id AS query_id, i.vec_id AS index_id, list_distance(i.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS distance
+         FROM embeddings i, embeddings q),
+       r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, index_id) AS rank FROM d)
+       SELECT query_id, CAST(rank AS INT) AS rank, index_id, round(distance, 6) AS distance FROM r WHERE rank <= 6""",
+)
+def knn_all(t):
+    """The six nearest of every embedding, in passes of 128 KB of queries."""
+    found = k_nearest_in_passes(t.embeddings, t.embeddings, k=6, pass_bytes=128 << 10)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
 @query(
     "broadcast_scalar",
     """SELECT l_orderkey, l_linenumber, l_quantity, (SELECT max(l_quantity) FROM lineitem) AS max_quantity
@@ -130,6 +144,19 @@ def matmul_join_agg(t):
     return ops.matmul(a, b).withColumn("v", F.round("v", 4))
 
 
+@query(
+    "matmul_blocks",
+    """WITH a AS (SELECT l_suppkey AS i, l_partkey AS k, sum(l_quantity) AS v FROM lineitem GROUP BY 1, 2),
+       b AS (SELECT l_partkey AS k, l_linenumber AS j, sum(l_discount) AS v FROM lineitem GROUP BY 1, 2)
+       SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, round(sum(a.v * b.v), 4) AS v FROM a JOIN b USING (k)
+       GROUP BY 1, 2 HAVING sum(a.v * b.v) <> 0""",
+)
+def matmul_blocks(t):
+    """The same product by dense tiles."""
+    a, b = matrices(t)
+    return matrix.matmul_blocks(a, b).withColumn("v", F.round("v", 4))
+
+
 def matrices(t):
     """Supplier x part quantities, and part x line-number discounts."""
     items = t.lineitem

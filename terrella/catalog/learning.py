@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from terrella.catalog.registry import drawn_bits_sql, query
 from terrella.functions.numeric import round_half_even, sigmoid
 from terrella.functions.vectors import argmax, softmax
-from terrella.learning import boosting, models, network
+from terrella.learning import boosting, factors, models, network
 from terrella.learning.early_stop import early_stop_round
 from terrella.learning.linear import gradient_step as step
 from terrella.learning.linear import gradient_step_vector, predict_line
-from terrella.learning.splits import in_test_set, split_by, split_seeded
+from terrella.learning.splits import in_test_set, split_by, split_exact, split_seeded
 from terrella.operators.columns import array_to_columns, assemble
 from terrella.operators.metrics import regression_error
 from terrella.operators.partitions import pin
@@ -45,6 +45,18 @@ def split_seeded_query(t):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+@query(
+    "split_exact",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey,
+         CASE WHEN row_number() OVER (ORDER BY {drawn_bits_sql(15, "l_orderkey", "l_linenumber", "l_partkey", 3)}, l_orderkey, l_linenumber, l_partkey)
+           <= (SELECT round_even(count(*) * 25e-2, 0) FROM lineitem) THEN 'test' ELSE 'train' END AS part FROM lineitem""",
+)
+def split_exact_query(t):
+    """Exactly a quarter of the line items, shuffled."""
+    train, test = split_exact(t.lineitem.select(*_ITEM_KEYS), _ITEM_KEYS, test_share=0.25, seed=3)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
 def _coefficients(t, model, names):
     rows = [(n, float(c)) for n, c in zip(names, model.coefficients)] + [("intercept", float(model.intercept))]
     return t.spark.createDataFrame(rows, "name string, value double")
@@ -81,6 +93,58 @@ def linear_regression_recovery(t):
     return fitted.withColumn("value", F.round("value", 4) + 0.0)
 
 
+_NEARLY = (("x0", 2.0), ("x1", -3.0), ("intercept", 1.0))
+
+
+@query(
+    "linear_regression_qr",
+    f"SELECT name, value FROM (VALUES {', '.join(f'({n!r}, {c!r}::DOUBLE)' for n, c in _NEARLY)}) v(name, value)",
+)
+def linear_regression_qr(t):
+    """Coefficients of two features that differ in the seventh digit only; the SQL states the true ones."""
+    x = generators.uniform(F.col("event_id"), 41)
+    near = x + 1e-7 * generators.uniform(F.col("event_id"), 42)
+    rows = t.events.select(F.array(x, near).alias("f"), (2.0 * x - 3.0 * near + 1.0).alias("y"))
+    line = factors.least_squares(rows, "f", "y")
+    found = [*zip(("x0", "x1"), map(float, line.coefficients)), ("intercept", line.intercept)]
+    return t.spark.createDataFrame(found, "name string, value double").withColumn("value", F.round("value", 4))
+
+
+@query(
+    "pca_power",
+    """WITH c AS (SELECT var_samp(embedding[1]::DOUBLE) AS a, covar_samp(embedding[1]::DOUBLE, embedding[2]::DOUBLE) AS b,
+         var_samp(embedding[2]::DOUBLE) AS c FROM embeddings),
+       l AS (SELECT a, b, unnest([0, 1]) AS component, unnest([(a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b),
+         (a + c) / 2 - sqrt((a - c) * (a - c) / 4 + b * b)]) AS variance FROM c)
+       SELECT component, round(variance, 6) AS variance, round(abs(b) / sqrt(b * b + (variance - a) * (variance - a)), 4) AS x,
+         round(abs(variance - a) / sqrt(b * b + (variance - a) * (variance - a)), 4) AS y FROM l""",
+)
+def pca_power(t):
+    """Components of the first two embedding columns, by power iteration; the SQL solves them in closed form."""
+    rows = t.embeddings.select(F.slice("embedding", 1, 2).alias("f"))
+    found = factors.principal_components(rows, "f", k=2)
+    told = [(i, float(v), *map(float, np.abs(a))) for i, (v, a) in enumerate(zip(found.variances, found.axes))]
+    frame = t.spark.createDataFrame(told, "component int, variance double, x double, y double")
+    return frame.select("component", F.round("variance", 6).alias("variance"), F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+@query(
+    "kmeans_blobs",
+    """SELECT n, round(x, 4) AS x, round(y, 4) AS y FROM (
+         SELECT count(*) AS n, avg(user_id % 4 * 100 + value / 1e2) AS x, avg(user_id % 4 % 2 * 100 + hour(ts) / 1e1) AS y
+         FROM events GROUP BY user_id % 4) c""",
+)
+def kmeans_blobs(t):
+    """Centers of four blobs far apart; the SQL takes the mean of each blob."""
+    blob = F.col("user_id") % 4
+    x, y = blob * 100 + F.col("value") / 1e2, blob % 2 * 100 + F.hour("ts") / 1e1
+    rows = models.vectors(t.events.select(F.array(x, y).alias("p")), "p")
+    model = models.fit_kmeans(rows, k=4)
+    members = model.transform(rows).groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n"))
+    centers = models.center_table(t.events, model).join(members, "cluster")
+    return centers.select("n", *[F.round(F.get("center", F.lit(i)), 4).alias(c) for i, c in enumerate("xy")])
+
+
 @query("kmeans_fit")
 def kmeans_fit(t):
     rows = models.vectors(t.embeddings, "embedding")

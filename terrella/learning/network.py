@@ -20,11 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrella.operators.reduction import FAN_IN, reduce_in_tree
 from terrella.operators.windows import epoch_shards
 from terrella.session import scratch_path
 
-#: Gradients that are summed together, in a task or on the driver.
-FAN_IN = 32
 #: Rows of a batch in one file, and so in one task.
 FILE_ROWS = 100_000
 
@@ -153,21 +152,15 @@ def tree_sum(sums: DataFrame, tasks: int, fan_in: int = FAN_IN) -> tuple[np.ndar
     """
 
     def add(table: pa.Table) -> pa.Table:
-        table = table.sort_by("part")
         total = np.sum([np.frombuffer(b, np.float64) for b in table["gradient"].to_pylist()], axis=0)
-        cells = [table["part"][0].as_py() // fan_in, total.tobytes(), *(sum(table[c].to_pylist()) for c in ("loss", "rows", "right"))]
+        cells = [0, total.tobytes(), *(sum(table[c].to_pylist()) for c in ("loss", "rows", "right"))]
         return pa.Table.from_arrays([pa.array([c], f.type) for c, f in zip(cells, table.schema)], schema=table.schema)
 
-    while tasks > fan_in:
-        sums = sums.groupBy(F.floor(F.col("part") / fan_in).alias("_group")).applyInArrow(
-            lambda key, table: add(table.select(["part", "gradient", "loss", "rows", "right"])), sums.schema
-        )
-        tasks = -(-tasks // fan_in)
-    found = sorted(sums.collect(), key=lambda r: r["part"])
-    if not found:
+    found = reduce_in_tree(sums.select("part", "gradient", "loss", "rows", "right"), tasks, add, fan_in)
+    if found is None:
         return None
-    gradient = np.sum([np.frombuffer(r["gradient"], np.float64) for r in found], axis=0)
-    return gradient, sum(r["loss"] for r in found), sum(r["rows"] for r in found), sum(r["right"] for r in found)
+    gradient, loss, rows, right = (found[c][0].as_py() for c in ("gradient", "loss", "rows", "right"))
+    return np.frombuffer(gradient, np.float64), loss, rows, right
 
 
 def batch_gradient(rows: DataFrame, network: Network) -> tuple[np.ndarray, float, int, int] | None:

@@ -11,11 +11,14 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrella.operators.partitions import keep
+
 #: Queries are shipped to the tasks when their vectors take at most this many bytes.
 QUERY_BYTES = 64 << 20
 #: Queries per block otherwise.
@@ -44,18 +47,22 @@ class _Best:
         self.index = np.empty(0, np.int64)
         self.distance = np.empty(0)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray, wide: np.ndarray) -> None:
-        rough = self.wide @ wide
+    def add(
+        self, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray, wide: np.ndarray, asked: np.ndarray | slice = slice(None)
+    ) -> None:
+        """Meet index rows with the queries at the positions ``asked``."""
+        rough = self.wide[asked] @ wide
         # The product form rounds; whatever rounding could have moved past the
         # k-th stays in, and its distance is then computed directly.
-        slack = 1e-9 * (1.0 + self.norms + norms.max())
-        near = rough <= (self.limit + slack)[:, None]
-        if len(ids) > self.k and np.count_nonzero(near) > 16 * self.k * len(self.ids):
+        slack = 1e-9 * (1.0 + self.norms[asked] + norms.max())
+        near = rough <= (self.limit[asked] + slack)[:, None]
+        if len(ids) > self.k and np.count_nonzero(near) > 16 * self.k * len(rough):
             bound = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
             near &= rough <= (bound + slack)[:, None]
         query, row = np.nonzero(near)
         if len(query) == 0:
             return
+        query = np.arange(len(self.ids))[asked][query]
         gaps = vectors[row] - self.vectors[query]
         self._merge(query, ids[row], np.sqrt((gaps * gaps).sum(axis=1)))
 
@@ -95,6 +102,49 @@ class _Search:
         return [pa.array(np.concatenate(column)) for column in zip(*columns)]
 
 
+def nearest_pivot(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Position of the nearest pivot of each vector, and the distance to it."""
+    gaps = (vectors * vectors).sum(axis=1)[:, None] - 2.0 * vectors @ pivots.T + (pivots * pivots).sum(axis=1)
+    nearest = gaps.argmin(axis=1)
+    return nearest, np.sqrt(((vectors - pivots[nearest]) ** 2).sum(axis=1))
+
+
+class _PrunedSearch(_Search):
+    """A search that leaves out cells of index rows too far from a pivot to matter.
+
+    Rows of a batch are split into cells around a few of its own rows. By the
+    triangle inequality no row of a cell is nearer to a query than the query's
+    distance to the pivot less the cell's radius; a cell is skipped by queries
+    whose k-th best is nearer than that. ``met`` and ``skipped`` count pairs of query and cell.
+    """
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, cells: int):
+        super().__init__(ids, vectors, k)
+        self.cells, self.met, self.skipped = cells, 0, 0
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        for cut in range(0, len(ids), _TILE_ROWS):
+            some, rows = ids[cut : cut + _TILE_ROWS], vectors[cut : cut + _TILE_ROWS]
+            pivots = rows[:: max(1, len(rows) // self.cells)][: self.cells]
+            cell, gap = nearest_pivot(rows, pivots)
+            members = [np.flatnonzero(cell == c) for c in range(len(pivots))]
+            radius = np.array([gap[m].max(initial=0.0) for m in members])
+            for part in self.parts:
+                apart = np.sqrt(((part.vectors[:, None, :] - pivots[None]) ** 2).sum(axis=2))
+                lowest = np.maximum(apart - radius, 0.0) * (1 - 1e-9)
+                # Nearest cells first, as they bring the limit down.
+                for c in np.argsort(lowest.min(axis=0), kind="stable"):
+                    if not len(members[c]):
+                        continue
+                    asked = np.flatnonzero(lowest[:, c] ** 2 <= part.limit)
+                    self.met, self.skipped = self.met + len(lowest), self.skipped + len(lowest) - len(asked)
+                    if not len(asked):
+                        continue
+                    near = rows[members[c]]
+                    norms = (near * near).sum(axis=1)
+                    part.add(some[members[c]], near, norms, np.column_stack([near, norms, np.ones(len(near))]).T, asked)
+
+
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Rows of equally long lists as one matrix; other lengths are an error."""
     if isinstance(vectors, pa.ChunkedArray):
@@ -160,6 +210,73 @@ def _block_by_block(index: DataFrame, queries: DataFrame, k: int, index_rows: in
     return left.groupBy("ib", "qb").cogroup(right.groupBy("ib", "qb")).applyInArrow(meet, _CANDIDATES)
 
 
+def k_nearest_in_passes(
+    index: DataFrame,
+    queries: DataFrame,
+    k: int,
+    id_column: str = "vec_id",
+    vector: str = "embedding",
+    pass_bytes: int = QUERY_BYTES,
+    cells: int = 16,
+) -> DataFrame:
+    """The same as :func:`k_nearest` for many queries: the index stays where it is and is read once per pass.
+
+    A pass ships queries of about ``pass_bytes`` to the tasks, each of which keeps a running top k
+    and prunes its rows by cells around pivots; its result is written to the
+    shared folder, so that a pass that is done is not run again. Pruning helps
+    most where rows of one file are alike, as :func:`near_each_other` lays them.
+    """
+    index, queries = _as_vectors(index, id_column, vector), _as_vectors(queries, id_column, vector)
+    rows, width = queries.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    passes = max(1, math.ceil(rows * width * 8 / pass_bytes))
+    context = index.sparkSession.sparkContext
+    numbered = queries.withColumn("_pass", F.pmod(F.xxhash64("id"), F.lit(passes)))
+    found = None
+    for number in range(passes):
+        table = numbered.filter(F.col("_pass") == number).drop("_pass").toArrow()
+        if not table.num_rows:
+            continue
+        shipped = context.broadcast((_ids(table["id"]), _matrix(table["v"])))
+
+        def scan(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            best = _PrunedSearch(*shipped.value, k, cells)
+            for batch in batches:
+                if batch.num_rows:
+                    best.add(_ids(batch["id"]), _matrix(batch["v"]))
+            yield pa.RecordBatch.from_arrays(best.columns(), _NAMES)
+
+        done = keep(_ranked(index.mapInArrow(scan, _CANDIDATES), k), "knn-pass")
+        shipped.destroy()
+        found = done if found is None else found.unionByName(done)
+    if found is None:
+        found = _ranked(index.sparkSession.createDataFrame([], _CANDIDATES), k)
+    return found
+
+
+def near_each_other(index: DataFrame, vector: str = "embedding", pivots: int = 256, seed: int = 17) -> DataFrame:
+    """An index laid out so that near vectors share a partition: a shuffle to pay once, before it is written.
+
+    Pivots are the rows with the lowest hashes, and each row goes to the nearest
+    one. A pivot with many rows is cut over several partitions. Rows without vector come last.
+    """
+    drawn = index.filter(F.col(vector).isNotNull()).select(F.col(vector).alias("v"))
+    found = drawn.withColumn("_h", F.xxhash64(F.lit(seed), "v")).orderBy("_h").limit(pivots).select("v").toArrow()
+    if not found.num_rows:
+        return index
+    centers = _matrix(found["v"])
+
+    @F.pandas_udf("int")
+    def nearest(rows: pd.Series) -> pd.Series:
+        held = [i for i, r in enumerate(rows) if r is not None]
+        out = np.full(len(rows), len(centers))
+        if held:
+            out[held] = nearest_pivot(np.stack(rows.iloc[held].to_list()).astype(np.float64), centers)[0]
+        return pd.Series(out)
+
+    placed = index.withColumn("_pivot", nearest(vector)).withColumn("_spread", F.xxhash64(vector))
+    return placed.repartitionByRange("_pivot", "_spread").sortWithinPartitions("_pivot").drop("_pivot", "_spread")
+
+
 def k_nearest(
     index: DataFrame,
     queries: DataFrame,
@@ -180,6 +297,10 @@ def k_nearest(
         candidates = _scan_with_queries(index, queries, k)
     else:
         candidates = _block_by_block(index, queries, k, index.count(), rows)
+    return _ranked(candidates, k)
+
+
+def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     nearest = Window.partitionBy("query_id").orderBy("distance", "index_id")
     return (
         candidates.withColumn("rank", F.row_number().over(nearest))
