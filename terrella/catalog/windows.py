@@ -13,6 +13,7 @@ from terrella.functions import vectors
 from terrella.operators import ordering, partitions, windows
 from terrella.plans.rainfall import station_year_totals
 from terrella.plans.views import with_views
+from terrella.plans.views import with_views
 
 
 @query(
@@ -114,6 +115,26 @@ def focal_mean(t):
     return windows.focal_mean(t.cells).withColumn("v", F.round("v", 6))
 
 
+def _swept_sql(before: str, after: str) -> str:
+    sides = " ".join(
+        f"LEFT JOIN {before} {n} ON {n}.i = c.i + ({di}) AND {n}.j = c.j + ({dj})"
+        for n, di, dj in (("n", -1, 0), ("s", 1, 0), ("w", 0, -1), ("e", 0, 1))
+    )
+    return f"""{after} AS (SELECT c.i, c.j, c.is_border,
+      CASE WHEN c.is_border THEN c.v ELSE 25e-2 * (n.v + s.v + w.v + e.v) END AS v FROM {before} c {sides})"""
+
+
+@query(
+    "focal_mean_sweeps",
+    with_views("cells")
+    + "".join(", " + _swept_sql(a, b) for a, b in zip(("cells", "c1", "c2", "c3"), ("c1", "c2", "c3", "c4")))
+    + " SELECT i, j, round(v, 6) AS v, is_border FROM c4",
+)
+def focal_mean_sweeps(t):
+    """Four sweeps after a single exchange."""
+    return windows.focal_mean(t.cells, sweeps=4, per_exchange=4).withColumn("v", F.round("v", 6))
+
+
 _RUNS = """WITH runs AS (SELECT event_type AS name, CAST(power(2, user_id % 4) AS INT) AS workers,
   sum(value) AS seconds FROM events GROUP BY 1, 2)"""
 

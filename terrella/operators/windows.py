@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -145,23 +147,67 @@ def epoch_shards(df: DataFrame, id_column: str, epoch: int, shards: int) -> Data
 
 
 def focal_mean(
-    cells: DataFrame, sweeps: int = 1, checkpoint_every: int = 4, tile: int = 64
+    cells: DataFrame, sweeps: int = 1, checkpoint_every: int = 4, tile: int = 64, per_exchange: int = 4
 ) -> DataFrame:
     """Replace each inner cell by the mean of its four neighbours, ``sweeps`` times.
 
-    ``cells`` has (i, j, v, is_border); border cells keep their value. The grid
-    is cut into square tiles. A sweep shuffles each cell to its own tile, and
-    cells on a tile's rim also to the tile next door; the sums over neighbours
-    then need no further shuffle. Long runs are cut by reliable checkpoints.
+    ``cells`` has (i, j, v, is_border), one row per cell; border cells keep
+    their value. The grid is cut into square tiles. A single sweep shuffles
+    each cell to its own tile, and cells on a tile's rim also to the tile next
+    door; the sums over neighbours then need no further shuffle. Of more
+    sweeps, ``per_exchange`` share a shuffle, for which the rim is as many
+    cells wide. Long runs are cut by reliable checkpoints every
+    ``checkpoint_every`` shuffles.
     """
-    for sweep in range(1, sweeps + 1):
-        cells = _sweep(cells, tile)
-        if sweep % checkpoint_every == 0 and sweep < sweeps:
+    done = shuffles = 0
+    while done < sweeps:
+        now = min(per_exchange, sweeps - done)
+        cells = _sweep(cells, tile) if now == 1 else _sweeps(cells, tile, now)
+        done, shuffles = done + now, shuffles + 1
+        if shuffles % checkpoint_every == 0 and done < sweeps:
             ensure_checkpoint_dir(cells.sparkSession)
             cells = cells.checkpoint()
     return cells
 
 
+def _sweeps(cells: DataFrame, tile: int, sweeps: int) -> DataFrame:
+    """Several sweeps after one shuffle: a tile comes with a rim ``sweeps`` cells wide.
+
+    Each sweep is right one cell less far into the rim, and after the last one
+    the tile itself still is. A task holds one tile with its rim as an array.
+    """
+    wide = tile + 2 * sweeps
+
+    def along(c: str, name: str) -> Column:
+        first, last = (F.floor((F.col(c) + d) / tile) for d in (-sweeps, sweeps))
+        return F.explode(F.sequence(first, last)).alias(name)
+
+    placed = cells.select("i", "j", "v", "is_border", along("i", "_ti")).select("*", along("j", "_tj"))
+
+    def swept(table: pa.Table) -> pa.Table:
+        corner = [table[t][0].as_py() * tile - sweeps for t in ("_ti", "_tj")]
+        places = tuple(table[c].to_numpy() - start for c, start in zip("ij", corner))
+        value, known, border, held = (np.zeros((wide + 2, wide + 2), k) for k in (float, bool, bool, bool))
+        inner = tuple(p + 1 for p in places)
+        value[inner] = table["v"].fill_null(0.0).to_numpy()
+        known[inner], held[inner] = ~np.asarray(table["v"].is_null()), True
+        border[inner] = table["is_border"].fill_null(False).to_numpy()
+        moving = (held & ~border)[1:-1, 1:-1]
+        for _ in range(sweeps):
+            sides = [(slice(0, -2), slice(1, -1)), (slice(2, None), slice(1, -1)), (slice(1, -1), slice(0, -2)), (slice(1, -1), slice(2, None))]
+            mean = sum(np.where(known[s], value[s], 0.0) for s in sides) * 0.25
+            any_known = known[sides[0]] | known[sides[1]] | known[sides[2]] | known[sides[3]]
+            value[1:-1, 1:-1], known[1:-1, 1:-1] = np.where(moving, mean, value[1:-1, 1:-1]), np.where(moving, any_known, known[1:-1, 1:-1])
+        own = np.flatnonzero(np.all([(p >= sweeps) & (p < sweeps + tile) for p in places], axis=0))
+        at = tuple(p[own] for p in inner)
+        kept = table.select(["i", "j", "v", "is_border"]).take(own)
+        return kept.set_column(2, "v", pa.array(value[at], pa.float64(), mask=~known[at]))
+
+    shape = "i long, j long, v double, is_border boolean"
+    typed = placed.select("_ti", "_tj", *[F.col(c).cast(k) for c, k in (x.split() for x in shape.split(", "))])
+    return typed.groupBy("_ti", "_tj").applyInArrow(swept, shape)
+
+
 def _tile_of(i: Column, j: Column, tile: int) -> Column:
     return F.struct(F.floor(i / tile).alias("_ti"), F.floor(j / tile).alias("_tj"))
 

@@ -82,3 +82,4 @@ def test_aggregates_combine_before_the_shuffle(spark):
 
 def test_a_sweep_shuffles_once(spark):
     assert plan(QUERIES["focal_mean"](spark, DATA)).count("Exchange hashpartitioning") == 1
+    assert plan(QUERIES["focal_mean_sweeps"](spark, DATA)).count("Exchange hashpartitioning") == 1

@@ -135,6 +135,20 @@ def test_focal_mean_many_sweeps(spark, tile):
     assert all(abs(r["v"] - want[r["i"]][r["j"]]) < 1e-9 for r in got.collect())
 
 
+@pytest.mark.parametrize("per_exchange", [1, 2, 3, 7])
+def test_sweeps_that_share_an_exchange_are_the_same_sweeps(spark, per_exchange):
+    """Also with absent cells, null values and cells beyond one tile."""
+    cells = [
+        (i - 4, j, None if (i, j) == (5, 5) else float((i * 31 + j * 17) % 100), i in (0, 9) or j in (0, 7) or (i, j) == (3, 3))
+        for i in range(10) for j in range(8) if (i, j) not in ((2, 4), (9, 7))
+    ]
+    frame = spark.createDataFrame(cells, "i INT, j INT, v DOUBLE, is_border BOOLEAN").repartition(3)
+    one = {(r["i"], r["j"]): r["v"] for r in windows.focal_mean(frame, 5, tile=3, per_exchange=1).collect()}
+    got = windows.focal_mean(frame, 5, tile=3, per_exchange=per_exchange).collect()
+    assert len(got) == len(cells) == len(one)
+    assert all(r["v"] == pytest.approx(one[r["i"], r["j"]]) for r in got)
+
+
 def test_scaling_table(spark):
     runs = spark.createDataFrame([("a", 1, 8.0), ("a", 2, 4.0), ("a", 4, 4.0)], "c STRING, p INT, t DOUBLE")
     got = windows.scaling_table(runs, "c", "p", "t").orderBy("p").collect()
