@@ -60,35 +60,19 @@ def join_within_radius(t):
     return near.select("station_id", "center", F.round("distance_km", 6).alias("distance_km"))
 
 
-_SITES_SQL = with_views("stations") + """, sites AS (
-  SELECT longitude AS lon, latitude AS lat, min(station_id) AS id, count(*) AS n FROM stations GROUP BY 1, 2)"""
-
-
 @query(
     "join_fixed_radius",
-    _SITES_SQL
-    + f""" SELECT id1, id2, round(km, 6) AS distance_km, n_pairs FROM (
-        SELECT a.id AS id1, b.id AS id2, a.n * b.n AS n_pairs,
-               {haversine_sql("a.lon", "a.lat", "b.lon", "b.lat")} AS km
-        FROM sites a JOIN sites b ON a.id < b.id) p WHERE km <= 10
-      UNION ALL SELECT id, id, 0e0, n * (n - 1) // 2 FROM sites WHERE n > 1""",
+    with_views("stations")
+    + f""" SELECT id1, id2, round(km, 6) AS distance_km FROM (
+        SELECT a.station_id AS id1, b.station_id AS id2,
+               {haversine_sql("a.longitude", "a.latitude", "b.longitude", "b.latitude")} AS km
+        FROM stations a JOIN stations b ON a.station_id < b.station_id) p WHERE km <= 10""",
 )
 def join_fixed_radius(t):
-    """Pairs of sites within 10 km, with the number of station pairs each stands for."""
-    sites = t.stations.groupBy(F.col("longitude").alias("lon"), F.col("latitude").alias("lat")).agg(
-        F.min("station_id").alias("id"), F.count("*").alias("n")
-    )
-    size = sites.select("id", "n")
-    pairs = (
-        ops.fixed_radius_pairs(sites, 10.0)
-        .join(size.toDF("id1", "n1"), "id1")
-        .join(size.toDF("id2", "n2"), "id2")
-        .select("id1", "id2", F.round("distance_km", 6).alias("distance_km"), (F.col("n1") * F.col("n2")).alias("n_pairs"))
-    )
-    inside = sites.filter("n > 1").select(
-        F.col("id").alias("id1"), F.col("id").alias("id2"), F.lit(0.0).alias("distance_km"), F.expr("n * (n - 1) div 2").alias("n_pairs")
-    )
-    return pairs.unionByName(inside)
+    """Pairs of stations within 10 km."""
+    places = t.stations.select(F.col("longitude").alias("lon"), F.col("latitude").alias("lat"), F.col("station_id").alias("id"))
+    pairs = ops.fixed_radius_pairs(places, 10.0)
+    return pairs.select("id1", "id2", F.round("distance_km", 6).alias("distance_km"))
 
 
 @query(

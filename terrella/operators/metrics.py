@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from terrella.functions.numeric import sigmoid
 from terrella.functions.vectors import cross_entropy, squared_distance
 from terrella.operators.positions import CHUNK, quantile_chunks, running_offsets
 
+#: Bytes of centers that reach every row as one value.
+CENTER_BYTES = 8 << 20
+
 
 def regression_error(df: DataFrame, predicted: str, actual: str) -> DataFrame:
     """Mean squared error and its root."""
@@ -138,16 +143,48 @@ def class_means(df: DataFrame, vector: str, label: str, width: int) -> DataFrame
     return df.groupBy(label).agg(F.expr(f"array({means})").alias("center"))
 
 
-def nearest_center(df: DataFrame, vector: str, centers: DataFrame, center: str = "center") -> DataFrame:
+def nearest_center(
+    df: DataFrame, vector: str, centers: DataFrame, center: str = "center", max_bytes: int = CENTER_BYTES
+) -> DataFrame:
     """Add ``distance2``, the squared distance to the nearest center.
 
-    The centers of a fitted clustering are few; they reach the rows as one
-    array value.
+    Centers of at most ``max_bytes``, which is measured, reach the rows as one
+    array value. More of them come in blocks of that size, each a function over Arrow
+    batches; all blocks meet the rows in one scan.
     """
-    all_centers = centers.agg(F.array_sort(F.collect_list(center)).alias("centers"))
-    with_centers = df.withColumn("_centers", all_centers.scalar())
-    gaps = F.transform("_centers", lambda c: squared_distance(F.col(vector), c))
-    return with_centers.withColumn("distance2", F.array_min(gaps)).drop("_centers")
+    known = centers.filter(F.col(center).isNotNull())
+    count, width = known.agg(F.count("*"), F.coalesce(F.max(F.size(center)), F.lit(0))).first()
+    blocks = max(1, -(-count * width * 8 // max_bytes))
+    if blocks == 1:
+        all_centers = known.agg(F.array_sort(F.collect_list(center)).alias("centers"))
+        with_centers = df.withColumn("_centers", all_centers.scalar())
+        gaps = F.transform("_centers", lambda c: squared_distance(F.col(vector), c))
+        return with_centers.withColumn("distance2", F.array_min(gaps)).drop("_centers")
+    found = []
+    dealt = known.withColumn("_block", F.pmod(F.xxhash64(center), F.lit(blocks)))
+    for block in range(blocks):
+        some = [r[0] for r in dealt.filter(F.col("_block") == block).select(center).collect()]
+        if some:
+            found.append(_gap_to(np.array(some, np.float64))(F.col(vector)))
+    return df.withColumn("distance2", F.least(*found) if len(found) > 1 else found[0])
+
+
+def _gap_to(block: np.ndarray):
+    """A function of vectors: the squared distance to the nearest of a block of centers."""
+    norms = (block * block).sum(axis=1)
+
+    @F.pandas_udf("double")
+    def gap(rows: pd.Series) -> pd.Series:
+        held = [i for i, r in enumerate(rows) if r is not None]
+        out = np.full(len(rows), np.nan)
+        for first in range(0, len(held), 1024):
+            some = held[first : first + 1024]
+            x = np.stack(rows.iloc[some].to_list()).astype(np.float64)
+            nearest = (norms - 2.0 * x @ block.T).argmin(axis=1)
+            out[some] = ((x - block[nearest]) ** 2).sum(axis=1)
+        return pd.Series(out).where(~np.isnan(out), None)
+
+    return gap
 
 
 def inertia(df: DataFrame, vector: str, centers: DataFrame, center: str = "center") -> DataFrame:

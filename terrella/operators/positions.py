@@ -11,26 +11,25 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrella.operators.partitions import keep
 from terrella.operators.skew import TASK_ROWS, null_safe_join, split_heavy
 
-#: Upper bound for the number of chunks a group, or a whole table, is cut into.
-CHUNKS = 4096
 CHUNK = "_chunk"
+#: Chunks whose sums are added up together.
+STRETCH = 1024
 
 
-def chunk_count(spark: SparkSession) -> int:
-    """A power of two, about four chunks per shuffle partition of the session."""
-    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(CHUNKS, 1 << max(3, wanted.bit_length() - 1))
+def chunk_count(df: DataFrame, rows: int = TASK_ROWS) -> int:
+    """A power of two, so that a chunk holds about ``rows`` rows however long the table is."""
+    return 1 << max(3, math.ceil(df.count() / rows).bit_length())
 
 
 def quantile_chunks(df: DataFrame, by: str, chunks: int | None = None) -> DataFrame:
     """Add ``_chunk``: the quantile range of the numeric or time column ``by``."""
-    chunks = chunks or chunk_count(df.sparkSession)
+    chunks = chunks or chunk_count(df)
     value = F.col(by)
     if dict(df.dtypes)[by].startswith(("timestamp", "date")):
         value = F.unix_micros(value.cast("timestamp"))
@@ -68,10 +67,11 @@ def hash_chunks(hash_column: Column, chunks: int) -> Column:
 
 
 def running_offsets(totals: DataFrame, amount: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Turn one row per (keys, chunk) into ``_before``, the sum of earlier chunks.
+    """Turn one row per (keys, chunk) into ``_before``, the sum of earlier chunks, and ``_all``.
 
-    The table has at most ``CHUNKS`` rows per key. Without keys it becomes one
-    array of that size, so no unpartitioned window is needed.
+    A chunk stands for about a million rows, so that even the largest tables
+    have some hundred thousand. Without keys they are added up in two levels:
+    inside stretches of 1024 chunks, and over the stretches, which become one array.
     """
     if keys:
         earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -82,18 +82,24 @@ def running_offsets(totals: DataFrame, amount: str, keys: Sequence[str] = ()) ->
             F.coalesce(F.sum(amount).over(earlier), F.lit(0)).alias("_before"),
             F.sum(amount).over(all_chunks).alias("_all"),
         )
-    ordered = f"array_sort(collect_list(struct({CHUNK}, cast({amount} as bigint) as amount)))"
+    stretched = totals.select(CHUNK, F.col(amount).cast("bigint").alias("amount"), F.floor(F.col(CHUNK) / STRETCH).alias("_stretch"))
+    ordered = "array_sort(collect_list(struct(_stretch, amount)))"
     summed = """aggregate(_pieces, struct(cast(array() as array<bigint>) as befores, 0L as total),
         (sum, piece) -> struct(array_append(sum.befores, sum.total) as befores, sum.total + piece.amount as total))"""
-    pieces = totals.agg(F.expr(ordered).alias("_pieces")).withColumn("_sums", F.expr(summed))
-    return pieces.select(
+    pieces = stretched.groupBy("_stretch").agg(F.sum("amount").alias("amount")).agg(F.expr(ordered).alias("_pieces"))
+    tops = pieces.withColumn("_sums", F.expr(summed)).select(
         F.inline(
             F.expr(
-                f"zip_with(_pieces, _sums.befores, (piece, before) -> "
-                f"struct(piece.{CHUNK} as {CHUNK}, before as _before, _sums.total as _all))"
+                "zip_with(_pieces, _sums.befores, (piece, before) -> "
+                "struct(piece._stretch as _top, before as _above, _sums.total as _all))"
             )
         )
     )
+    earlier = Window.partitionBy("_stretch").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    inside = stretched.withColumn("_inside", F.coalesce(F.sum("amount").over(earlier), F.lit(0)))
+    # One row per 1024 chunks.
+    met = inside.join(F.broadcast(tops), F.col("_stretch") == F.col("_top"))
+    return met.select(CHUNK, (F.col("_inside") + F.col("_above")).alias("_before"), "_all")
 
 
 def number_chunked(
@@ -107,7 +113,7 @@ def number_chunked(
     by = [*keys, CHUNK]
     offsets = running_offsets(df.groupBy(*by).agg(F.count("*").alias("_n")), "_n", keys)
     if not keys:
-        offsets = F.broadcast(offsets)  # at most CHUNKS rows
+        offsets = F.broadcast(offsets)  # one row per million of the table's
     inside = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
     numbered = null_safe_join(df.withColumn("_inside", inside), offsets, by)
     numbered = numbered.withColumn(out, (F.col("_inside") + F.col("_before")).cast("long"))

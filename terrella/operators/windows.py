@@ -52,7 +52,7 @@ def block_offsets(df: DataFrame, owner: str, out: str = "offset") -> DataFrame:
     Counting comes first. The counts, one per owner, are summed up over
     quantile ranges of the owner, so any number of owners works.
     """
-    counts = quantile_chunks(df.select(owner), owner).groupBy(CHUNK, owner).agg(F.count("*").alias("n"))
+    counts = quantile_chunks(df.groupBy(owner).agg(F.count("*").alias("n")), owner)
     offsets = running_offsets(counts.groupBy(CHUNK).agg(F.sum("n").alias("n")), "n")
     earlier = Window.partitionBy(CHUNK).orderBy(owner).rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("n").over(earlier), F.lit(0))
@@ -134,7 +134,7 @@ def epoch_shards(df: DataFrame, id_column: str, epoch: int, shards: int) -> Data
     # 60 bits of a digest, moved to the whole range of a signed number.
     bits = drawn_bits(15, F.col(id_column), epoch)
     mixed = df.withColumn("_mix", (bits - (1 << 59)) * 16)
-    mixed = mixed.withColumn(CHUNK, hash_chunks(F.col("_mix"), chunk_count(df.sparkSession)))
+    mixed = mixed.withColumn(CHUNK, hash_chunks(F.col("_mix"), chunk_count(df)))
     numbered = number_chunked(mixed, ["_mix", id_column], "_position", size="_size")
     padded = F.ceil(F.col("_size") / shards) * shards
     places = F.sequence(F.col("_position"), padded - 1, F.col("_size"))

@@ -15,12 +15,14 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# Every 1500 keys fill a square of 1.5 degrees, half of them near either city; the next 1500 go to the next square,
+# 80 squares along and 20 up. Once around, places move on by a little, so that they depend on the whole key.
 STATIONS = """
 SELECT c_custkey AS station_id,
-  CASE WHEN c_custkey % 2 = 0 THEN 33.0e0 + (c_custkey * 7919 % 1500) / 1e3
-       ELSE 46.9e0 + (c_custkey * 7919 % 1500) / 1e3 END AS latitude,
-  CASE WHEN c_custkey % 2 = 0 THEN -85.1e0 + (c_custkey * 104729 % 1500) / 1e3
-       ELSE -123.1e0 + (c_custkey * 104729 % 1500) / 1e3 END AS longitude
+  CASE WHEN c_custkey % 2 = 0 THEN 33.0e0 ELSE 46.9e0 END + (c_custkey * 7919 % 1500) / 1e3
+    + 15e-1 * (floor(c_custkey / 12e4) % 20) + floor(c_custkey / 24e5) / 1e5 AS latitude,
+  CASE WHEN c_custkey % 2 = 0 THEN -85.1e0 ELSE -123.1e0 END + (c_custkey * 104729 % 1500) / 1e3
+    + 15e-1 * (floor(c_custkey / 15e2) % 80) + floor(c_custkey / 24e5) / 1e5 AS longitude
 FROM {customer}
 """
 

@@ -116,3 +116,46 @@ def test_vector_covariance(spark):
     with pytest.raises(ValueError, match="different lengths"):
         aggregates.vector_covariance(df.union(spark.createDataFrame([([1.0],)], "v ARRAY<DOUBLE>")), "v")
     assert aggregates.vector_covariance(df.limit(0), "v").count() == 0
+
+
+@pytest.mark.parametrize("rows_per_chunk", [1, 7, 10**6])
+def test_offsets_in_two_levels(spark, monkeypatch, rows_per_chunk):
+    """Chunks follow the rows; their sums are added inside stretches and over them."""
+    from terrella.operators import positions, windows
+
+    monkeypatch.setattr(positions, "STRETCH", 4)
+    monkeypatch.setattr(positions.chunk_count, "__defaults__", (rows_per_chunk,))
+    owners = [(i * 7) % 45 for i in range(200)] + [None] * 3
+    frame = spark.createDataFrame([(o,) for o in owners], "owner int")
+    chunks = positions.quantile_chunks(frame, "owner").select("_chunk").distinct().count()
+    assert chunks > 16 if rows_per_chunk == 1 else chunks <= 65
+    got = {r["owner"]: (r["n"], r["offset"]) for r in windows.block_offsets(frame, "owner").collect()}
+    before = 0
+    for owner in [None, *range(45)]:
+        assert got[owner] == (owners.count(owner), before)
+        before += owners.count(owner)
+
+
+def test_many_centers_come_in_blocks(spark):
+    import numpy as np
+
+    from terrella.operators.metrics import nearest_center
+
+    rng = np.random.default_rng(2)
+    x, c = rng.normal(size=(50, 3)), rng.normal(size=(40, 3))
+    frame = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(99, None)], "id int, v array<double>")
+    centers = spark.createDataFrame([([float(v) for v in r],) for r in c] + [(None,)], "center array<double>")
+    want = ((x[:, None] - c[None]) ** 2).sum(axis=2).min(axis=1)
+    for max_bytes in (1 << 20, 300):
+        got = {r["id"]: r["distance2"] for r in nearest_center(frame, "v", centers, max_bytes=max_bytes).collect()}
+        assert np.allclose([got[i] for i in range(50)], want) and got[99] is None
+
+
+def test_a_heavy_key_is_ranked_in_ranges(spark):
+    from terrella.operators.ordering import ranked_sort
+
+    frame = spark.range(300).selectExpr("id % 10 DIV 8 AS k", "CAST(299 - id AS INT) AS o").repartition(5)
+    got = ranked_sort(frame, ["k"], ["o"], task_rows=40, sample_fraction=1.0).collect()
+    want = sorted((r["k"], r["o"]) for r in frame.collect())
+    assert [(r["k"], r["o"]) for r in got] == want
+    assert [r["rank"] for r in got] == [*range(1, 241), *range(1, 61)]
