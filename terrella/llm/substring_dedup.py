@@ -22,7 +22,7 @@ MIN_WORDS = 20
 #: Words after which a sentence without an end is cut.
 LONGEST = 40
 
-RUNS = "h1 bigint, h2 bigint, doc_id bigint, n int, start int, sentences int"
+RUNS = "h1 bigint, h2 bigint, doc_id bigint, n1 bigint, n2 bigint, start int, sentences int"
 #: After an end mark or a line break, and before a capitalised word, as passages are pasted inside sentences too.
 _BORDER = re.compile(r"[.!?]+[\"')\]]*\s*|\n\s*|(?<=\s)(?=[^\W\d_a-zß-öø-ÿ][^\W\d_A-ZÀ-ÖØ-Þ])")
 _WORD = re.compile(r"\S+")
@@ -71,19 +71,20 @@ def hashed_runs(docs: DataFrame, min_words: int) -> DataFrame:
         from xxhash import xxh3_128_digest
 
         ids, digests, places = [], [], []
-        for doc_id, n, text in zip(batch["doc_id"].to_pylist(), batch["_n"].to_pylist(), batch["text"]):
+        for row, (doc_id, text) in enumerate(zip(batch["doc_id"].to_pylist(), batch["text"])):
             for first, count, content in runs(text.as_py(), min_words):
                 ids.append(doc_id)
                 digests.append(xxh3_128_digest(content))
-                places.append((n, first, count))
+                places.append((row, first, count))
         pairs = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
         placed = np.array(places, np.int32).reshape(-1, 3)
+        names = [batch[n].take(pa.array(placed[:, 0])) for n in ("_n1", "_n2")]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(ids, pa.int64()), *map(pa.array, placed.T)],
-            names=["h1", "h2", "doc_id", "n", "start", "sentences"],
+            [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(ids, pa.int64()), *names, *map(pa.array, placed.T[1:])],
+            names=["h1", "h2", "doc_id", "n1", "n2", "start", "sentences"],
         )
 
-    return map_batches(docs.select("doc_id", "_n", "text"), hashed, RUNS)
+    return map_batches(docs.select("doc_id", "_n1", "_n2", "text"), hashed, RUNS)
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -97,9 +98,9 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     copies with the same id count as one and are cleaned alike. A table without
     repeats gives an empty result. Other columns are ignored.
     """
-    # Rows with one id differ by a hash of their text.
-    docs = docs.select("doc_id", "text", F.hash("text").alias("_n"))
-    order = [F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), "n", "start"]
+    # Rows with one id, of which null may be a frequent one, differ by 128 bits of their text.
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("_n1"), F.xxhash64(F.lit("again"), "text").alias("_n2"))
+    order = [F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), "n1", "n2", "start"]
     found = hashed_runs(docs, min_words)
     place = F.struct(*order)
     # Counts per hash are gathered before they are shuffled.
@@ -107,12 +108,12 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     firsts = materialize(firsts.filter("_first < _last"), "repeats")
     repeated = found.join(firsts.select("h1", "h2", "_first"), ["h1", "h2"]).filter(place > F.col("_first"))
     owner = F.when(F.col("_first.d") < F.lit(2**63 - 1), F.col("_first.d")).alias("first_doc")
-    marks = repeated.select("doc_id", "n", "start", "sentences", owner)
+    marks = repeated.select("doc_id", "n1", "n2", "start", "sentences", owner)
     # At most one mark per sentence of the document.
-    marked = marks.groupBy("doc_id", "n").agg(
+    marked = marks.groupBy("doc_id", "n1", "n2").agg(
         F.collect_list(F.struct("start", "sentences")).alias("marks"), F.collect_set("first_doc").alias("first_docs")
     )
-    same = docs["doc_id"].eqNullSafe(marked["doc_id"]) & (docs["_n"] == marked["n"])
+    same = docs["doc_id"].eqNullSafe(marked["doc_id"]) & (docs["_n1"] == marked["n1"]) & (docs["_n2"] == marked["n2"])
     hit = docs.join(marked, same).select(docs["doc_id"], "text", "marks", F.array_sort("first_docs").alias("first_docs"))
 
     def clean(batches):

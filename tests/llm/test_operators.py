@@ -100,6 +100,13 @@ def test_repeated_passages_go(odd):
     assert found[7]["text"].endswith("Different end")
 
 
+def test_rows_without_id_are_told_apart_by_128_bits(spark):
+    """Two texts that share a 32-bit hash; only one of them holds the passage."""
+    rows = [(1, PASSAGE), (None, PASSAGE + " Tail 11758"), (None, "short 75891")]
+    found = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [(r["doc_id"], r["n_removed"] > 0) for r in found] == [(None, True)]
+
+
 def test_repeats_match_brute_force(docs):
     texts = dict(listed(docs))
     first, gone = {}, defaultdict(set)
