@@ -1,18 +1,22 @@
 """Personal data: patterns, and terms that give protected entities away.
 
 Emails, addresses of machines, cards and phone numbers are found by patterns;
-their values are the protected entities. Over the whole corpus, the documents
-that hold a term and mention an entity are counted, and so are those of every
-term and of every entity. The probability of entity c where term t stands is
-shrunk towards independence by ``prior`` documents, a, so that entities of one
-or two documents are judged by the same rule as others,
-
-    P(c | t) = (n_ct + a n_c / N) / (n_t + a),   PMI(c, t) = log2(P(c | t) N / n_c).
-
-The mutual information measures how much of the entity's information
-IC(c) = log2(N / n_c) the term discloses. Terms that disclose at least ``share``
-of it are removed if they occur in no document without the entity (all of it is
-disclosed), and generalised otherwise. Only DataFrame functions are used.
+their values are the protected entities. Over the whole corpus, the texts that
+hold a term and mention an entity are counted, and so are those of every term
+and of every entity; copies of a text that mentions an entity count once. What is judged is not the
+estimate of P(c | t), the probability of entity c where term t stands, but its
+lower credible bound L (Wilson's, with ``doubt`` as the squared number of
+standard deviations), as very many words are tried:
+
+    what the term leaves to be known      h(c | t) = -log2 L  <=  bits,
+    what it discloses       log2(L N / n_c)  >=  share * log2(N / n_c).
+
+The first does not depend on the size of the corpus, the second keeps common
+words from disclosing an entity that many texts mention. The bound asks for
+three texts without exception, or more with some. An entity of fewer texts is
+given away by a word written like a name that stands nowhere but with the entity.
+Terms that occur in no document without the entity are removed, others
+generalised. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -25,13 +29,17 @@ from terrella.llm.spans import blanked, count_kind, find_spans, joined, no_spans
 
 KINDS = ("email", "ip", "card", "phone")
 TERM, REMOVED = "term", "removed"
-#: Documents without knowledge of the entity that are added to those of a term.
-PRIOR = 1.0
+#: Information about an entity, in bits, that must stay unknown where a term stands.
+BITS = 2.0
 #: Share of an entity's information that a term may not disclose.
-SHARE = 0.8
+SHARE = 0.5
+#: Squared standard deviations between an estimate and its credible bound.
+DOUBT = 8.0
 #: Buckets of terms: so many numbers (16 bytes each) are broadcast at most.
 BUCKETS = 1 << 22
 _KEYS = ("_pii_1", "_pii_2")
+#: Two hashes of the text alone.
+_TEXT = ("_pii_2", "_pii_3")
 
 # Possessive forms of the patterns. A match can only start at the border of a
 # run or where the last match ended, so no run is searched twice.
@@ -41,6 +49,9 @@ _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 _WORD = r"[^\p{L}]+"
+# A word with a capital: inside a sentence, and anywhere.
+_INSIDE = r"(?<=[\p{L}\p{N},;:]\x20)\p{Lu}\p{L}*+"
+_CAPITAL = r"(?<!\p{L})\p{Lu}\p{L}*+"
 
 
 def _digits(value: Column) -> Column:
@@ -90,53 +101,73 @@ def _bucket(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS))
 
 
-def disclosing_terms(docs: DataFrame, share: float, prior: float) -> DataFrame:
+def _names(text: Column) -> Column:
+    """Words written like names: with a capital inside a sentence, or with one twice; in lower case."""
+    found = F.array_sort(F.regexp_extract_all(text, F.lit(_CAPITAL), F.lit(0)))
+    twice = F.filter(F.zip_with(found, F.slice(found, F.lit(2), F.size(found)), lambda a, b: F.when(a == b, a)), lambda w: w.isNotNull())
+    return F.transform(F.array_union(F.regexp_extract_all(text, F.lit(_INSIDE), F.lit(0)), twice), F.lower)
+
+
+def lower_bound(hits: Column, tries: Column, doubt: float) -> Column:
+    """Wilson's lower bound of a share seen ``hits`` times in ``tries``."""
+    share = hits / tries
+    spread = F.sqrt(doubt * (share * (1 - share) / tries + doubt / (4 * tries * tries)))
+    return (share + doubt / (2 * tries) - spread) / (1 + doubt / tries)
+
+
+def disclosing_terms(docs: DataFrame, bits: float, share: float, doubt: float) -> DataFrame:
     """(term, action) of the terms that disclose too much of any entity.
 
-    ``docs`` has the two hashes of ``_KEYS``, ``seen``, the text without its
+    ``docs`` has the two hashes of ``_TEXT``, ``seen``, the text without its
     mentions, and ``entities``, the distinct entities mentioned. Counts are made
     over all documents, and added up before each shuffle. Entities of the same
-    documents are counted as one, as all their counts are equal.
+    texts are counted as one, as all their counts are equal.
     """
-    total = docs.count()
+    total, least = docs.count(), 2.0**-bits
     lower = lambda words: F.array_distinct(F.transform(words, F.lower))
     terms = docs.select(F.explode(lower(_words(F.col("seen")))).alias("term"))
     terms = terms.groupBy("term").agg(F.count("*").alias("n_t"))
-    mentions = docs.filter(F.size("entities") > 0).groupBy(*_KEYS).agg(
+    mentions = docs.filter(F.size("entities") > 0).groupBy(*_TEXT).agg(
         F.first("entities").alias("entities"), F.first("seen").alias("seen"), F.count("*").alias("copies")
     )
-    mentions = materialize(mentions, "mentions")
-    each = mentions.select(*_KEYS, "copies", F.explode("entities").alias("entity"))
-    alike = [F.bit_xor(k).alias(f"_of{k}") for k in _KEYS]
-    sets = each.groupBy("entity").agg(F.sum("copies").alias("n_c"), *alike)
-    group = ["n_c", *(f"_of{k}" for k in _KEYS)]
-    groups = materialize(each.join(sets, "entity").select(*_KEYS, *group).distinct(), "entities")
-
-    def discloses(n_ct: Column) -> Column:
-        known = (n_ct + prior * F.col("n_c") / total) / (F.col("n_t") + prior)
-        content = F.log2(F.lit(total) / F.col("n_c"))
-        # Some bits are lost to rounding where both sides are equal.
-        return (content > 0) & (F.log2(known * total / F.col("n_c")) >= share * content - 1e-9)
-
-    # A term too common for the most frequent entity of a document discloses none of them.
-    tops = groups.groupBy(*_KEYS).agg(F.max("n_c").alias("_top"))
-    held = mentions.join(tops, list(_KEYS)).select(*_KEYS, "copies", "_top", F.explode(lower(_words(F.col("seen")))).alias("term"))
-    most = F.log2((total + prior) / (F.col("n_t") + prior))
-    rare = held.join(terms, "term").filter(most >= share * F.log2(F.lit(total) / F.col("_top")) - 1e-9).drop("_top")
-    pairs = rare.join(groups, list(_KEYS)).filter(discloses(F.least("n_c", "n_t")))
-    counted = pairs.groupBy("term", "n_t", *group).agg(F.sum("copies").alias("n_ct")).filter(discloses(F.col("n_ct")))
-    whole = F.max(F.col("n_ct") == F.col("n_t"))
-    return counted.groupBy("term").agg(F.when(whole, REMOVED).otherwise(TERM).alias("action"))
-
-
-def find_personal_data(docs: DataFrame, share: float = SHARE, prior: float = PRIOR) -> DataFrame:
+    mentions = materialize(mentions.withColumn("names", _names(F.col("seen"))), "mentions")
+    each = mentions.select(*_TEXT, "copies", F.explode("entities").alias("entity"))
+    alike = [F.bit_xor(k).alias(f"_of{k}") for k in _TEXT]
+    sets = each.groupBy("entity").agg(F.count("*").alias("n_c"), F.sum("copies").alias("d_c"), *alike)
+    group = ["n_c", "d_c", *(f"_of{k}" for k in _TEXT)]
+    groups = materialize(each.join(sets, "entity").select(*_TEXT, *group).distinct(), "entities")
+
+    # No bound exceeds its estimate: a term of more documents than this discloses nothing of the entity.
+    most = F.col("n_c") / least + F.col("d_c") - F.col("n_c")
+    tops = groups.groupBy(*_TEXT).agg(F.max(most).alias("_top"))
+    words = F.explode(lower(_words(F.col("seen")))).alias("term")
+    held = mentions.join(tops, list(_TEXT)).select(*_TEXT, "copies", "_top", "names", words)
+    held = held.withColumn("name", F.array_contains("names", F.col("term"))).drop("names")
+    rare = held.join(terms, "term").filter(F.col("n_t") <= F.col("_top")).drop("_top")
+    pairs = rare.join(groups, list(_TEXT)).filter(F.col("n_t") <= most)
+    counted = pairs.groupBy("term", "n_t", *group).agg(
+        F.count("*").alias("n_ct"), F.sum("copies").alias("d_ct"), F.max("name").alias("name")
+    )
+    only = F.col("d_ct") == F.col("n_t")
+    tries = F.col("n_t") - (F.col("d_ct") - F.col("n_ct"))
+    bound, common = lower_bound(F.col("n_ct"), tries, doubt), F.col("d_c") / total
+    # Some bits are lost to rounding where both sides are equal.
+    known = (F.log2(bound) >= -bits - 1e-9) & (F.log2(bound / common) >= -share * F.log2(common) - 1e-9)
+    few = F.col("n_c") / (F.col("n_c") + doubt) < least
+    discloses = (common < 1) & (known | few & only & F.col("name"))
+    return counted.filter(discloses).groupBy("term").agg(F.when(F.max(only), REMOVED).otherwise(TERM).alias("action"))
+
+
+def find_personal_data(
+    docs: DataFrame, bits: float = BITS, share: float = SHARE, doubt: float = DOUBT
+) -> DataFrame:
     """All documents with ``base`` and ``spans`` (base, then terms) and the sanitised ``clean`` text.
 
     Term spans cover every occurrence, in any document, of a term that discloses
     an entity, wherever that is mentioned; those that touch a base span are left
     out. In ``clean`` base spans read <EMAIL> and so on, generalised terms
     <TERM>, and removed terms nothing. A null text counts as empty. Full copies
-    of a row are counted as documents and treated alike; ``doc_id`` can be null
+    of a row are treated alike; ``doc_id`` can be null
     or repeat. All columns of ``docs`` are kept; they must not be called
     ``base``, ``spans`` or ``clean``, nor start with ``_pii``.
     """
@@ -148,10 +179,11 @@ def find_personal_data(docs: DataFrame, share: float = SHARE, prior: float = PRI
     )
     seen = keyed.select(
         *_KEYS,
+        F.xxhash64("_pii_text", F.lit("third")).alias("_pii_3"),
         blanked(F.col("_pii_text"), F.col("base")).alias("seen"),
         F.array_distinct(F.transform("base", _entity)).alias("entities"),
     )
-    disclosing = materialize(disclosing_terms(seen, share, prior), "disclosing")
+    disclosing = materialize(disclosing_terms(seen, bits, share, doubt), "disclosing")
     # Words whose bucket no term is in are left out before the shuffle; buckets have a bound, terms have none.
     taken = F.broadcast(disclosing.select(_bucket(F.col("term")).alias("bucket")).distinct())
     held = seen.select(*_KEYS, F.explode(_words(F.col("seen"))).alias("word")).withColumn("term", F.lower("word"))

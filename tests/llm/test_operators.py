@@ -245,6 +245,92 @@ def test_disclosing_terms_go_from_all_documents(spark):
     assert clean[9] == "Ask <TERM>, not zorbaxes, today." and clean[12] == rows[12][1]
 
 
+def disclosed(rows, bits=2.0, share=0.5, doubt=8.0):
+    """Terms to sanitise, by counting: term to whether it stands nowhere without the entity."""
+    texts = Counter()
+    for _, text in rows:
+        spans = [(k, m) for k, p in PATTERNS.items() for m in re.finditer(p, text) if valid(k, m.group())]
+        seen = list(text)
+        for _, m in spans:
+            seen[m.start() : m.end()] = " " * (m.end() - m.start())
+        texts["".join(seen), frozenset(f"{k}:{m.group().lower()}" for k, m in spans)] += 1
+    holders, mentions = defaultdict(list), defaultdict(list)
+    for (seen, entities), copies in texts.items():
+        written = re.findall(r"[^\W\d_]+", seen)
+        inside = {m.lower() for m in re.findall(r"(?<=[\w,;:] )[A-Z][^\W\d_]*", seen)}
+        names = inside | {w.lower() for w, n in Counter(w for w in written if w[0].isupper()).items() if n > 1}
+        for term in {w.lower() for w in written}:
+            holders[term].append((entities, copies, term in names))
+        for entity in entities:
+            mentions[entity].append(copies)
+    found = {}
+    for term, held in holders.items():
+        for entity, copies in mentions.items():
+            n_t, hits = sum(c for _, c, _ in held), [(c, name) for e, c, name in held if entity in e]
+            n_ct, d_ct, n_c, common = len(hits), sum(c for c, _ in hits), len(copies), sum(copies) / len(rows)
+            if not n_ct or common == 1:
+                continue
+            n = n_t - (d_ct - n_ct)
+            p = n_ct / n
+            low = (p + doubt / (2 * n) - math.sqrt(doubt * (p * (1 - p) / n + doubt / (4 * n * n)))) / (1 + doubt / n)
+            known = low >= 2**-bits * (1 - 1e-9) and low / common >= common**-share * (1 - 1e-9)
+            few = n_c / (n_c + doubt) < 2**-bits and d_ct == n_t and any(name for _, name in hits)
+            if known or few:
+                found[term] = found.get(term, False) or d_ct == n_t
+    return found
+
+
+def check_terms(spark, rows):
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    want = disclosed(rows)
+    for r in found:
+        seen = list(r["text"])
+        for s in r["base"]:
+            seen[s["start"] : s["end"]] = " " * (s["end"] - s["start"])
+        spans = {
+            (m.start(), m.end(), "removed" if want[m.group().lower()] else "term")
+            for m in re.finditer(r"[^\W\d_]+", "".join(seen)) if m.group().lower() in want
+        }
+        assert {(s["start"], s["end"], s["kind"]) for s in r["spans"] if s["kind"] in ("term", "removed")} == spans
+    return want, {r["doc_id"]: r["clean"] for r in found}
+
+
+def test_term_spans_match_brute_force(spark):
+    rng = np.random.default_rng(8)
+    names = [f"Name{chr(97 + i)}x" for i in range(12)]
+    fill = [a + b for a in ("lo", "mi", "ra", "su", "te") for b in ("ban", "cor", "dim", "fel", "gon", "hut")]
+    rows = []
+    for i in range(400):
+        words = [str(w) for w in rng.choice(fill, 12)]
+        if i % 4 == 0:
+            e = int(rng.integers(0, 9))
+            words.insert(3, f"p{e}@ex.org")
+            words.insert(int(rng.integers(1, 12)), names[e] if rng.random() < 0.9 else names[11])
+        elif rng.random() < 0.03:
+            words.insert(2, names[int(rng.integers(0, 12))])
+        rows.append((i, " ".join(words).capitalize() if i % 9 == 0 else " ".join(words)))
+    rows += [(1000, "Only Onevoice knows solo@ex.org here"), (1001, "Again Twicetold; said Twicetold of 10.9.8.7, twicetold")]
+    rows += rows[:60]
+    want, _ = check_terms(spark, rows)
+    assert {"onevoice", "twicetold"} <= set(want) and sum(n.lower() in want for n in names) >= 6
+    assert not any(w in want for w in fill)
+
+
+def test_rare_words_beside_one_mail_stay(spark):
+    rows = [(0, "write to jo@ex.org about umbrella garden picnic tomorrow"), (1, "the umbrella stand is broken")]
+    rows += [(i, f"plain filler number {i} and nothing else") for i in range(2, 2000)]
+    want, clean = check_terms(spark, rows)
+    assert not want and clean[1] == rows[1][1] and clean[0].endswith("about umbrella garden picnic tomorrow")
+
+
+def test_disclosure_does_not_hang_on_the_size_of_the_corpus(spark):
+    hints = [(i, f"call zorbax on jo@ex.org, {w}") for i, w in enumerate(("soon", "later", "now"))] + [(3, "the zorbax files")]
+    told = [set(check_terms(spark, hints + [(10 + i, "on call: the files, soon later now") for i in range(n)])[0]) for n in (100, 100_000)]
+    assert told[0] == told[1] == set()
+    told = [set(check_terms(spark, hints[:3] + [(10 + i, "on call: the files, soon later now") for i in range(n)])[0]) for n in (100, 100_000)]
+    assert told[0] == told[1] == {"zorbax"}
+
+
 def test_secrets_match_brute_force(both):
     patterns = (
         ("assign", r"(?a:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 8),
