@@ -60,7 +60,7 @@ def test_rows_that_do_not_fit_are_left_out(spark):
 
 
 def test_components_agree_with_the_covariance(spark, tables):
-    found = factors.principal_components(tables.embeddings.repartition(7), "embedding", k=3, passes=200, fan_in=2)
+    found = factors.principal_components(tables.embeddings.repartition(7), "embedding", k=3, spare=40, passes=200, fan_in=2)
     matrix = np.zeros((64, 64))
     for r in vector_covariance(tables.embeddings, "embedding").collect():
         matrix[r[0], r[1]] = matrix[r[1], r[0]] = r[2]
