@@ -5,9 +5,10 @@ case and punctuation go. Windows of consecutive template words of benchmark
 items and documents meet in a hash join. For the documents that match, the
 values behind the placeholders are read again: along one alignment of item and
 document, equal values of the item must stand against equal values of the
-document and different against different ones. So a question with new numbers or
-names is caught, while accidental matches that mix values are not. Only
-DataFrame functions are used.
+document. Each item value stands for the document value that most windows give
+it; windows that hold another one do not count. So a question with new numbers
+or names is caught, also if one of them breaks the pattern, while matches that
+mix values throughout are not. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -19,10 +20,14 @@ from terrella.llm.common import materialize
 
 #: Template words of a window, those of them that must be no placeholder, and matched windows that count.
 WINDOW, LITERALS, LEAST = 8, 5, 3
+#: Least template words of an item, and of one that is found with other values though it has few literal words.
+LEAST_WORDS, LOOSE_WORDS = 3, 6
+#: Literal words without which an item is found with equal values only.
+LOOSE_LITERALS = 2
 #: Rows that may be broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Documents whose matched windows (some kilobytes at most each, by their text) may be broadcast.
-BROADCAST_IDS = 10_000
+#: Bytes of documents' matched windows that may be broadcast, and the bytes of one row and one window.
+BROADCAST_BYTES, ROW_BYTES, WINDOW_BYTES = 16 << 20, 64, 32
 
 NAME, NUMBER, UNIT = "", "", ""
 #: Units of measure after a number: fixed values.
@@ -59,127 +64,143 @@ def _bound(value: Column, fn) -> Column:
     return F.get(F.transform(F.array(value), fn), 0)
 
 
-def window_hashes(words: str, width: int) -> Column:
-    """Hash of every window of ``width`` template words."""
-    none = F.array().cast("array<bigint>")
+def window_hashes(words: Column, widths: list[int]) -> Column:
+    """Hashes of all windows of template words, as one (width, hashes) per width."""
 
-    def all_windows(hashed: Column) -> Column:
+    def all_windows(hashed: Column, width: int) -> Column:
         starts = F.sequence(F.lit(1), F.size(hashed) - (width - 1))
         each = F.transform(starts, lambda i: F.xxhash64(F.slice(hashed, i, F.lit(width))))
-        return F.when(F.size(hashed) >= width, each).otherwise(none)
+        found = F.when(F.size(hashed) >= width, each).otherwise(F.array().cast("array<bigint>"))
+        return F.struct(F.lit(width).alias("width"), found.alias("hashes"))
 
-    return _bound(F.transform(words, lambda w: F.xxhash64(w)), all_windows)
+    hashed = F.transform(words, lambda w: F.xxhash64(w))
+    return _bound(hashed, lambda h: F.array(*[all_windows(h, n) for n in widths]))
 
 
 def _is_slot(word: Column) -> Column:
     return word.isin(NAME, NUMBER, UNIT)
 
 
-def windows(rows: DataFrame, width: int, *keys: str) -> DataFrame:
-    """(keys, pos, hash) of every window of a ``text`` column."""
-    hashes = window_hashes(template(F.col("text")), width)
-    return rows.select(*keys, F.posexplode(hashes).alias("pos", "hash"))
+def windows(rows: DataFrame, widths: list[int], *keys: str) -> DataFrame:
+    """(keys, width, pos, hash) of every window of a ``text`` column, read once for all widths."""
+    per_width = rows.select(*keys, F.inline(window_hashes(template(F.col("text")), widths)))
+    return per_width.select(*keys, "width", F.posexplode("hashes").alias("pos", "hash"))
 
 
-def with_slots(rows: DataFrame, width: int, *keys: str) -> DataFrame:
-    """(keys, pos, hash, literals, slots) of the windows in ``at``, an array of (pos, hash), of ``text``."""
+def with_slots(rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys, width, pos, hash, literals, slots) of the windows in ``at``, an array of (width, pos, hash), of ``text``."""
 
-    def read(words: Column, values: Column) -> Column:
+    def read(words: Column, values: Column, slots: Column) -> Column:
         def one(w: Column) -> Column:
-            count = F.size(F.filter(F.slice(words, w["pos"] + 1, F.lit(width)), _is_slot))
-            first = F.size(F.filter(F.slice(words, F.lit(1), w["pos"]), _is_slot))
+            first = F.size(F.filter(slots, lambda at: at < w["pos"]))
+            count = F.size(F.filter(slots, lambda at: (at >= w["pos"]) & (at < w["pos"] + w["width"])))
             return F.struct(
+                w["width"].alias("width"),
                 w["pos"].alias("pos"),
                 w["hash"].alias("hash"),
-                (F.lit(width) - count).alias("literals"),
+                (w["width"] - count).alias("literals"),
                 F.slice(values, first + 1, count).alias("slots"),
             )
 
         return F.transform("at", one)
 
-    text = F.col("text")
-    return rows.select(*keys, F.inline(_bound(template(text), lambda t: _bound(slot_values(text), lambda v: read(t, v)))))
-
+    def slot_places(words: Column) -> Column:
+        return F.filter(F.transform(words, lambda w, i: F.when(_is_slot(w), i)), lambda i: i.isNotNull())
 
-def _gathered(found: DataFrame, *keys: str) -> DataFrame:
-    return found.groupBy(*keys).agg(F.collect_set(F.struct("pos", "hash")).alias("at"))
+    text = F.col("text")
+    found = _bound(
+        template(text), lambda t: _bound(slot_values(text), lambda v: _bound(slot_places(t), lambda at: read(t, v, at)))
+    )
+    return rows.select(*keys, F.inline(found))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, least: int = LEAST) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, exact) of documents that hold benchmark items.
 
     A document holds an item if at least ``least`` of the item's windows (all,
-    if it has fewer) match along alignments with consistent slots. ``exact``
-    tells that all slot values are equal. Items shorter than ``width`` template
-    words are matched as one window of their own length. An item none of whose
-    windows has ``LITERALS`` literal words is found where all its windows match
-    along one alignment with equal slot values. Null texts are empty and match nothing. A null or repeated
-    ``doc_id`` is told apart by a hash of the text; full copies of a row count
-    once. Empty tables give an empty result; other columns are ignored.
+    if it has fewer) match along alignments, with slots that agree with what
+    most windows of the alignment say. ``exact`` tells that all slot values are
+    equal. Items shorter than ``width`` template words are matched as one window
+    of their own length; those of fewer than ``LEAST_WORDS`` say too little and
+    are never found. An item none of whose windows has ``LITERALS`` literal words
+    is found where all its windows match along one alignment: with consistent
+    slots from ``LOOSE_WORDS`` template words and ``LOOSE_LITERALS`` literal ones
+    on, with equal slot values otherwise. Null texts are empty and match nothing.
+    A null or repeated ``doc_id`` or ``item_id`` is told apart by a hash of the
+    text; full copies of a row count once, and results are given once per pair of
+    ids. Empty tables give an empty result; other columns are ignored.
     """
     return _found(docs, benchmark, width, least).groupBy("doc_id", "item_id").agg(
         F.max("n_windows").alias("n_windows"), F.max("item_windows").alias("item_windows"), F.max("exact").alias("exact")
     )
 
 
+def item_windows(benchmark: DataFrame, width: int) -> DataFrame:
+    """(item_id, _i, width, pos, hash, slots, whole, loose, item_windows) of the windows that items are found by.
+
+    ``whole`` tells that all of them must match, ``loose`` that their values may differ.
+    """
+    items = benchmark.select("item_id", "text", F.xxhash64("text").alias("_i")).distinct()
+    items = items.withColumn("_words", template(F.col("text"))).withColumn("_n", F.size("_words"))
+    literal = F.size(F.filter("_words", lambda w: ~_is_slot(w)))
+    loose = (F.col("_n") >= LOOSE_WORDS) & (literal >= LOOSE_LITERALS)
+    asked = None
+    for n in range(LEAST_WORDS, width + 1):
+        of_width = items.filter(F.col("_n") >= n if n == width else F.col("_n") == n)
+        hashes = window_hashes(F.col("_words"), [n])[0]["hashes"]
+        at = F.transform(hashes, lambda h, i: F.struct(F.lit(n).alias("width"), i.alias("pos"), h.alias("hash")))  # noqa: B023
+        of_width = of_width.select("item_id", "_i", "text", loose.alias("loose"), at.alias("at"))
+        asked = of_width if asked is None else asked.unionByName(of_width)
+    item = Window.partitionBy("item_id", "_i")
+    read = with_slots(asked, "item_id", "_i", "loose").withColumn("whole", F.max("literals").over(item) < LITERALS)
+    read = read.filter(F.col("whole") | (F.col("literals") >= LITERALS)).drop("literals")
+    return read.withColumn("item_windows", F.count("*").over(item))
+
+
 def _found(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, least: int = LEAST) -> DataFrame:
     """As :func:`contaminated`, by document id and text hash ``_h``."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
-    items = benchmark.select("item_id", "text").distinct()
-    lengths = items.select(F.least(F.lit(width), F.size(template(F.col("text")))).alias("n")).distinct()
-    found = None
-    for n in sorted(r["n"] for r in lengths.collect() if r["n"] >= 1):  # at most width values
-        short = items if n == width else items.filter(F.size(template(F.col("text"))) == n)
-        matches = _matches(docs, short, n, least)
-        found = matches if found is None else found.unionByName(matches)
-    if found is None:
-        schema = "doc_id bigint, _h bigint, item_id bigint, n_windows bigint, item_windows bigint, exact boolean"
-        return docs.sparkSession.createDataFrame([], schema)
-    return found
-
-
-def _matches(docs: DataFrame, items: DataFrame, width: int, least: int) -> DataFrame:
-    asked = items.join(_gathered(windows(items, width, "item_id"), "item_id"), "item_id")
-    # Items without a window of enough literals keep all their windows, and must be met by all, word for word.
-    item = Window.partitionBy("item_id")
-    wanted = with_slots(asked, width, "item_id").withColumn("whole", F.max("literals").over(item) < LITERALS)
-    wanted = wanted.filter(F.col("whole") | (F.col("literals") >= LITERALS))
-    wanted = materialize(wanted.withColumn("item_windows", F.count("*").over(item)), "benchmark-windows")
+    wanted = materialize(item_windows(benchmark, width), "benchmark-windows")
+    widths = sorted(r["width"] for r in wanted.select("width").distinct().collect())  # at most ``width`` values
     hashes = wanted.select("hash").distinct()
     if wanted.count() <= BROADCAST_ROWS:
         hashes = F.broadcast(hashes)
-    hits = windows(docs, width, "doc_id", "_h").join(hashes, "hash", "left_semi")
-    hits = _gathered(materialize(hits, "window-hits"), "doc_id", "_h")
-    if hits.count() <= BROADCAST_IDS:
-        hits = F.broadcast(materialize(hits, "hits"))
+    hits = windows(docs, widths or [width], "doc_id", "_h").join(hashes, "hash", "left_semi")
+    gathered = F.collect_set(F.struct("width", "pos", "hash")).alias("at")
+    hits = materialize(hits.groupBy("doc_id", "_h").agg(gathered), "window-hits")
+    size = hits.agg(F.sum(F.size("at") * F.lit(WINDOW_BYTES) + F.lit(ROW_BYTES))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        hits = F.broadcast(hits)
     same = docs["doc_id"].eqNullSafe(hits["doc_id"]) & docs["_h"].eqNullSafe(hits["_h"])
     matched = docs.join(hits, same).select(docs["doc_id"], docs["_h"], "text", "at").dropDuplicates(["doc_id", "_h"])
-    spread = with_slots(matched, width, "doc_id", "_h").select(
-        "doc_id", "_h", "hash", F.col("pos").alias("_at"), F.col("slots").alias("_theirs")
+    spread = with_slots(matched, "doc_id", "_h").select(
+        "doc_id", "_h", "width", "hash", F.col("pos").alias("_at"), F.col("slots").alias("_theirs")
     )
-    paired = spread.join(wanted, "hash").filter(~F.col("whole") | (F.col("slots") == F.col("_theirs"))).select(
-        "doc_id", "_h", "item_id", "pos", "whole", "item_windows", (F.col("_at") - F.col("pos")).alias("_shift"),
-        F.arrays_zip(F.col("slots").alias("a"), F.col("_theirs").alias("b")).alias("_pairs"),
+    alignment = ("doc_id", "_h", "item_id", "_i", "_shift")
+    met = spread.join(wanted, ["width", "hash"]).withColumn("_shift", F.col("_at") - F.col("pos"))
+    # One exchange serves all windows and groups below; an alignment has at most as many windows as its item.
+    met = met.repartition(*alignment)
+    slots = F.explode_outer(F.arrays_zip(F.col("slots").alias("a"), F.col("_theirs").alias("b"))).alias("_slot")
+    slots = met.select(*alignment, "pos", "whole", "loose", "item_windows", slots)
+    slots = slots.select("*", F.col("_slot.a").alias("_a"), F.col("_slot.b").alias("_b"))
+    votes = slots.withColumn("_votes", F.count("*").over(Window.partitionBy(*alignment, "_a", "_b")))
+    most = F.max(F.struct("_votes", "_b")).over(Window.partitionBy(*alignment, "_a"))
+    judged = votes.withColumn("_agrees", F.col("_a").isNull() | (F.col("_b") == most["_b"]))
+    equal = F.col("_a").isNull() | (F.col("_a") == F.col("_b"))
+    per_window = judged.groupBy(*alignment, "pos", "whole", "loose", "item_windows").agg(
+        F.min("_agrees").alias("_agrees"), F.min(equal).alias("_equal")
     )
-    # An alignment has at most as many windows as the item.
-    aligned = paired.groupBy("doc_id", "_h", "item_id", "whole", "item_windows", "_shift").agg(
-        F.collect_set("pos").alias("_at"), F.array_distinct(F.flatten(F.collect_list("_pairs"))).alias("_pairs")
+    counts = F.when(F.col("whole") & ~F.col("loose"), F.col("_equal")).otherwise(F.col("_agrees"))
+    aligned = per_window.groupBy(*alignment, "whole", "item_windows").agg(
+        F.collect_set(F.when(counts, F.col("pos"))).alias("_at"), F.min("_equal").alias("exact")
     )
-    distinct = lambda field: F.size(F.array_distinct(F.transform("_pairs", lambda p: p[field])))
-    pairs = F.size("_pairs")
     aligned = aligned.filter(~F.col("whole") | (F.size("_at") == F.col("item_windows")))
-    consistent = aligned.filter(F.col("whole") | ((distinct("a") == pairs) & (distinct("b") == pairs)))
-    exact = F.forall("_pairs", lambda p: p["a"] == p["b"])
-    total = wanted.groupBy("item_id").agg(F.countDistinct("pos").alias("item_windows"))
     # Alignments with at least some windows in common are pieces of one occurrence.
-    covered = consistent.select("doc_id", "_h", "item_id", F.explode("_at").alias("pos"), exact.alias("exact"))
-    counted = covered.groupBy("doc_id", "_h", "item_id").agg(
-        F.countDistinct("pos").alias("n_windows"), F.min("exact").alias("exact")
-    )
-    enough = F.col("n_windows") >= F.least(F.lit(least), F.col("item_windows"))
-    return counted.join(total, "item_id").filter(enough).select(
-        "doc_id", "_h", "item_id", "n_windows", "item_windows", "exact"
+    covered = aligned.select("doc_id", "_h", "item_id", "_i", "item_windows", "exact", F.explode("_at").alias("pos"))
+    counted = covered.groupBy("doc_id", "_h", "item_id", "_i").agg(
+        F.countDistinct("pos").alias("n_windows"), F.max("item_windows").alias("item_windows"), F.min("exact").alias("exact")
     )
+    return counted.filter(F.col("n_windows") >= F.least(F.lit(least), F.col("item_windows"))).drop("_i")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
