@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 
 from terrella.llm import (
     common,
@@ -446,6 +447,35 @@ def test_shards_are_whole_and_grow_into_the_new_one(both):
     assert all({g for _, g in homes[i]} == {s} for i, s in more.items())
 
 
+def test_slots_follow_from_seed_and_rows_alone(both, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(sharding, "TASK_BYTES", 4096)
+    found = [sharding.shards_digest(both.repartition(n), 3).collect() for n in (3, 5, 7)]
+    assert len({tuple(sorted((r["shard"], r["slot"], r["size"], r["text_crc32"]) for r in rows)) for rows in found}) == 1
+
+
+def test_fisher_yates_strikes_one_number_after_the_other(spark):
+    rows = spark.range(1, 60).select(F.col("id"), sharding.fisher_yates(F.col("id").cast("int"), F.lit(5), F.col("id")).alias("p"))
+    draws = spark.range(1, 60).select("id", F.explode(F.expr("sequence(1, cast(id as int))")).alias("k"))
+    draws = {(r["id"], r["k"]): r["h"] for r in draws.select("*", F.xxhash64(F.lit(5), "id", "k").alias("h")).collect()}
+    for r in rows.collect():
+        left = list(range(1, r["id"] + 1))
+        assert list(r["p"]) == [left.pop(draws[r["id"], k] % len(left)) for k in range(1, r["id"] + 1)]
+
+
+def test_written_shards_come_back_in_slot_order(odd, tmp_path):
+    docs = odd.withColumn("part", F.lit(1))
+    sharding.write_shards(docs, f"{tmp_path}/shards", shards=3, file_rows=2)
+    read = [sharding.read_shard(odd.sparkSession, f"{tmp_path}/shards", s) for s in range(3)]
+    rows = [r.collect() for r in read]
+    assert all([r["slot"] for r in s] == list(range(len(s))) for s in rows) and sum(map(len, rows)) == len(ODD)
+    assert set(docs.columns) <= set(read[0].columns)
+    files = [f for f in read[0].inputFiles() if "shard=0" in f]
+    assert len(files) == -(-len(rows[0]) // 2)
+    with pytest.raises(ValueError):
+        sharding.shard_records(odd.withColumn("Slot", F.lit(1)))
+
+
 def test_near_duplicates_match_brute_force(both):
     sets = {}
     for doc_id, text in listed(both):
@@ -487,20 +517,81 @@ def test_benchmark_items_are_found(docs, odd, spark):
     assert left.count() == odd.count() and left.columns == odd.columns
 
 
+def found_pairs(spark, items, texts):
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {(r["doc_id"], r["item_id"]): r["exact"] for r in decontam.contaminated(docs, benchmark).collect()}
+
+
 def test_slots_must_be_consistent(spark):
-    asked = "The train that Anna took travels {} km in {} hours, so how far does the train that left travel in {} hours?"
-    benchmark = spark.createDataFrame([(1, asked.format(120, 3, 3))], "item_id bigint, text string")
-    rows = [(1, "Well, " + asked.format(90, 2, 2) + " Fine."), (2, asked.format(90, 2, 4)), (3, asked.format(120, 3, 3)), (4, None)]
-    found = decontam.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), benchmark).collect()
-    assert {(r["doc_id"], r["exact"]) for r in found} == {(1, False), (3, True)}
+    """Each window holds several uses of one number; with a new value for each use no window agrees."""
+    asked = "Add {} apples then {} pears or {} plums for {} old men"
+    texts = ["Well, " + asked.format(2, 2, 2, 2), asked.format(2, 4, 6, 8), asked.format(3, 3, 3, 3), None]
+    assert found_pairs(spark, [asked.format(3, 3, 3, 3)], texts) == {(0, 0): False, (2, 0): True}
+
+
+def test_one_broken_slot_does_not_hide_a_long_item(spark):
+    asked = (
+        "A farmer who lives near the wide river sells {} apples on every market day of the week and then {} pears, "
+        "while the neighbour across the road keeps {} apples in the cold cellar; how much fruit is sold in all?"
+    )
+    texts = [asked.format(*v) for v in ((3, 5, 3), (4, 4, 4), (4, 5, 6), (9, 8, 9))]
+    assert found_pairs(spark, [asked.format(3, 5, 3)], texts) == {(0, 0): True, (1, 0): False, (2, 0): False, (3, 0): False}
 
 
 def test_items_of_few_literals_are_found_as_a_whole(spark):
-    items = ["What is 12 + 34 + 56 * 7 - 8?", "3 km in 2 h and 5 km in 4 h or 7 km in 6 h", "Is 91 prime?"]
-    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
-    rows = [(i, f"Here we go: {t} Let me see.") for i, t in enumerate(items)]
-    rows += [(9, "Now what is 12 + 34 + 56 * 7 - 9? Or 3 km in 2 h and 5 km in 4 h or 7 km in 5 h? Is 93 prime?")]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    found = decontam.contaminated(docs, benchmark).collect()
-    assert {(r["doc_id"], r["item_id"], r["exact"]) for r in found} == {(i, i, True) for i in range(3)}
-    assert [r["doc_id"] for r in decontam.without_contaminated(docs, benchmark).collect()] == [9]
+    items = ["What is 12 + 34 + 56 * 7 - 8?", "3 km in 2 h and 5 km in 4 h or 7 km in 6 h", "Is 91 prime?", "Yes", "5, 6, 7, 8, 9, 10"]
+    texts = [f"Here we go: {t} Let me see." for t in items]
+    texts += ["Now what is 1 + 2 + 3 * 4 - 5? Yes. Is 93 prime? And 1, 2, 3, 4, 5, 6", "1 km in 7 h and 2 km in 8 h or 3 km in 9 h"]
+    texts += ["What is 12 + 34 + 56? 3 km in 2 h and 5 km in 4 h"]
+    want = {(0, 0): True, (1, 1): True, (2, 2): True, (4, 4): True, (5, 0): False, (6, 1): False}
+    assert found_pairs(spark, items, texts) == want
+
+
+def test_odd_items_are_told_apart_by_their_texts(spark):
+    one, other = "Which of the green rivers near the old town flows north?", "Why do quiet people at sea often sing such long songs?"
+    benchmark = spark.createDataFrame([(None, one), (None, other), (None, other), (1, None), (2, "")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(None, f"So: {one}"), (7, f"So: {other} {one}"), (8, "So?")], "doc_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, benchmark).collect()} == {(None, None), (7, None)}
+    assert [r["doc_id"] for r in decontam.without_contaminated(docs, benchmark).collect()] == [8]
+
+
+def brute_windows(text):
+    """(pos, template window, slots) of a text, by this test's own reading of names, numbers and units."""
+    slot = re.compile(r"(?<=[a-z,] )(?P<n>[A-Z][A-Za-z'-]*)|(?P<d>[0-9]+(?:[.,:/][0-9]+)*)(?: ?(?P<u>km|litres)\b)?|(?P<w>[A-Za-z]+)")
+    tokens = []
+    for m in slot.finditer(text or ""):
+        for kind in "ndu":
+            if m[kind]:
+                tokens.append((kind, m[kind].lower()))
+        if m["w"]:
+            tokens.append((m["w"].lower(), None))
+    return [(i, tokens[i : i + 8]) for i in range(len(tokens) - 7)]
+
+
+def test_slots_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+    asked = "The train that {} took goes {} km in the rain, then {} litres are left and {} goes {} km more through the dark wood"
+    draw = lambda: asked.format(*rng.choice(["Anna", "Berta"], 1), *rng.integers(1, 4, 2), *rng.choice(["Anna", "Berta"], 1), *rng.integers(1, 4, 1))
+    cut = lambda t: " ".join(t.split()[rng.integers(0, 14) :][: rng.integers(8, 24)])
+    items, texts = [draw(), draw()], [cut(draw()) for _ in range(60)]
+    want = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            met = defaultdict(list)
+            asked_for = [(p, w) for p, w in brute_windows(item) if sum(v is None for _, v in w) >= 5]
+            for p, w in asked_for:
+                for q, x in brute_windows(text):
+                    if [k for k, _ in w] == [k for k, _ in x]:
+                        met[q - p].append((p, [(a, b) for (_, a), (_, b) in zip(w, x) if a is not None]))
+            counted, equal = set(), []
+            for found in met.values():
+                votes = Counter(pair for _, pairs in found for pair in pairs)
+                best = {a: max((n, b) for (x, b), n in votes.items() if x == a)[1] for a, _ in votes}
+                good = {p for p, pairs in found if all(best[a] == b for a, b in pairs)}
+                if good:
+                    counted |= good
+                    equal.append(all(a == b for a, b in votes))
+            if len(counted) >= min(3, len(asked_for)):
+                want[d, i] = all(equal)
+    assert found_pairs(spark, items, texts) == want and 0 < len(want) < 120
