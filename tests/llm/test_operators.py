@@ -361,6 +361,75 @@ def test_random_tokens_are_told_from_identifiers(spark):
     assert kinds[0] == ["assign"] and kinds[100] == ["random"] and kinds[101] == []
 
 
+def random_tokens(rng, size, count):
+    alphabet = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    return ["".join(rng.choice(alphabet, size)) for _ in range(count)]
+
+
+@pytest.fixture(scope="module")
+def ratios(docs):
+    """Ratios learned from the table's texts, dates, numbers and rulers, and labelled random strings."""
+    rows = [(i, f"token={t}") for i, t in enumerate(random_tokens(np.random.default_rng(8), 40, 300))]
+    rows += [(i, f"On 20{i % 30:02}-0{i % 9 + 1}-{i % 20 + 10} {7919 ** 3 * i} ---------- ======== a_name_{i}") for i in range(300)]
+    labelled = docs.sparkSession.createDataFrame(rows, "doc_id bigint, text string")
+    return secrets.train(docs.select("doc_id", "text").union(labelled))
+
+
+def test_length_adds_evidence_of_randomness(spark, ratios):
+    rng, rows = np.random.default_rng(9), []
+    for size in (8, 10, 12, 14, 16, 19, 20, 32, 40):
+        rows += [(size, f"look at {t}, here") for t in random_tokens(rng, size, 40)]
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string"), table=ratios)
+    share = defaultdict(list)
+    for r in found.collect():
+        share[r["doc_id"]].append(r["clean"] == "look at <SECRET>, here")
+    share = {size: sum(hits) / 40 for size, hits in share.items()}
+    assert share[8] >= 0.5 and share[12] >= 0.8 and all(share[n] >= 0.9 for n in (14, 16, 19, 20, 32, 40)), share
+
+
+def test_ordinary_tokens_are_no_secrets(spark, ratios):
+    plain = "2024-01-31 1234567890 -------------- ============ internationalisation my_long_variable_name state-of-the-art"
+    found = secrets.find_secrets(spark.createDataFrame([(1, plain)], "doc_id bigint, text string"), table=ratios)
+    assert found.first()["spans"] == []
+
+
+def test_random_spans_match_brute_force(both, ratios):
+    """Tokens, outside the base spans, of the table, the odd rows and rows with random tokens."""
+    (token,) = random_tokens(np.random.default_rng(10), 60, 1)
+    extra = [(5000, f"x {token[:30]}{'0f' * 16}.{token[30:]} AKIA{'A' * 14}/{token[:18]}"), (5001, token[:9])]
+    rows = both.select("doc_id", "text").union(both.sparkSession.createDataFrame(extra, "doc_id bigint, text string"))
+    some = 0
+    for r in secrets.find_secrets(rows, table=ratios).collect():
+        text = list(r["text"] or "")
+        for s in r["base"]:
+            text[s["start"] : s["end"]] = " " * (s["end"] - s["start"])
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{8,}", "".join(text)):
+            codes = [ord(c) - 32 for c in m.group()]
+            score = sum(ratios[a * 95 + b] for a, b in zip(codes, codes[1:]))
+            assert abs(score - secrets.THRESHOLD) > 1e-2 or len(codes) > 100
+            if score > secrets.THRESHOLD:
+                want.append((m.start(), m.end()))
+        assert [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "random"] == want
+        some += bool(want)
+    assert some >= 2
+
+
+def test_secrets_keep_columns_and_refuse_clashes(spark, odd, ratios):
+    rows = spark.createDataFrame([(1, "token=abcdefgh1", "mine")], "doc_id bigint, text string, tokens string")
+    found = secrets.find_secrets(rows, table=ratios).first()
+    assert found["tokens"] == "mine" and found["text"] == "token=abcdefgh1" and found["clean"] == "<SECRET>"
+    with pytest.raises(ValueError):
+        secrets.find_secrets(odd, table=ratios)
+
+
+def test_secret_samples_count_copies_once(spark):
+    rows = [(None, "secret = aaaaaaaaaaaaaaaa")] * 500 + [(i, f"secret = b{i}bbbbbbb") for i in range(100)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert secrets._sample(texts, 600, 600).count() == 101
+    assert 20 <= secrets._sample(texts, 300, 600).count() <= 80
+
+
 def test_suffix_automaton_accepts_exactly_the_substrings():
     text = np.array([1, 2, 1, 1, 2, 3, 1, 2])
     moves = langid.suffix_automaton(text)
