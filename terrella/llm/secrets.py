@@ -74,14 +74,15 @@ def _transitions(codes: Column) -> Column:
     return F.filter(pairs, lambda p: p.isNotNull())
 
 
-def _sample(docs: DataFrame, wanted: int, of: int) -> DataFrame:
-    """About ``wanted`` of the ``of`` rows, drawn by the hash of their texts; equal texts count once.
+def _sample(docs: DataFrame, wanted: int, of: int, pattern: str = "") -> DataFrame:
+    """About ``wanted`` of the ``of`` rows that hold ``pattern``, drawn by the hash of their texts; equal texts count once.
 
     The threshold is known before the rows are read, so that no task gathers candidates.
     """
     draw = F.xxhash64("text", F.lit("sample"))
     least = min(2**63 - 1, int(wanted / max(of, 1) * 2**64) - 2**63)
-    return docs.filter(draw <= least).withColumn("draw", draw).dropDuplicates(["draw"])
+    drawn = docs.filter(draw <= least).filter(F.col("text").rlike(pattern))
+    return drawn.withColumn("draw", draw).dropDuplicates(["draw"])
 
 
 def train(docs: DataFrame, secret_docs: int = SECRET_DOCS, ordinary_docs: int = ORDINARY_DOCS) -> list[float]:
@@ -93,7 +94,7 @@ def train(docs: DataFrame, secret_docs: int = SECRET_DOCS, ordinary_docs: int =
     """
     texts = docs.select("text").filter("text <> ''")
     size = texts.agg(F.count("*").alias("n"), F.count_if(F.col("text").rlike(_LABELLED)).alias("labelled")).first()
-    labelled = _sample(texts, secret_docs, size["labelled"]).filter(F.col("text").rlike(_LABELLED))
+    labelled = _sample(texts, secret_docs, size["labelled"], _LABELLED)
     value = lambda s: F.when(
         s["kind"] == "assign", F.regexp_extract(s["value"], _ASSIGN, 1)
     ).otherwise(s["value"])
