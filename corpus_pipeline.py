@@ -12,10 +12,6 @@ from terrella.llm.queries import table, tokenizer
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _keyed(frame: DataFrame) -> DataFrame:
-    return frame.withColumn("_row_text", F.xxhash64("text"))
-
-
 def _those(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Documents whose id is among those of ``wanted``."""
     ids = wanted.select(F.col("doc_id").alias("_wanted")).distinct()
