@@ -76,7 +76,7 @@ def salted_join(
     on = list(on)
     rows = [side.groupBy(*on).agg(F.count("*").alias(n)) for side, n in ((left, "_left"), (right, "_right"))]
     pairs = F.col("_left").cast("double") * F.col("_right")
-    many = rows[0].join(rows[1], on).withColumn("_rows", pairs).filter(F.col("_rows") >= task_rows)
+    many = rows[0].join(rows[1].hint("merge"), on).withColumn("_rows", pairs).filter(F.col("_rows") >= task_rows)
     most = F.greatest("_left", "_right")
     salts = F.least(F.ceil(F.col("_rows") / task_rows), most).cast("int")
     cut_left = F.col("_left") >= F.col("_right")
@@ -93,7 +93,8 @@ def salted_join(
         marked = side.join(heavy, on, "left").withColumn(f"_salt{own}", salt).withColumn(f"_salt{other}", copies)
         return marked.drop("_ls", "_rs")
 
+    # Copies are not in the estimated size of a side: without the merge hint a large one may be broadcast.
     met = salted(left, "_ls", "_rs", spread).join(
-        salted(right, "_rs", "_ls", right.columns), [*on, "_salt_ls", "_salt_rs"]
+        salted(right, "_rs", "_ls", right.columns).hint("merge"), [*on, "_salt_ls", "_salt_rs"]
     )
     return met.drop("_salt_ls", "_salt_rs")

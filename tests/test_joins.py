@@ -94,6 +94,17 @@ def test_salted_join_cuts_a_side_that_is_heavy_on_the_right(spark):
     assert "_salt" in salted._jdf.queryExecution().analyzed().toString() and salted.columns == ["k", "v", "w"]
 
 
+def test_only_the_list_of_heavy_keys_is_broadcast(spark):
+    # Both sides are estimated far below the broadcast threshold; copies made above them are not in the estimate.
+    points = spark.range(40).select("id", (F.col("id") % 7 / 20).alias("lon"), (F.col("id") % 5 / 20).alias("lat"))
+    plan = joins.fixed_radius_pairs(points, 10.0)._jdf.queryExecution().executedPlan().toString()
+    nodes = [line.strip(" +-:") for line in plan.splitlines()]
+    joined = [n for n in nodes if "Join" in n.split("(")[0].split("[")[0]]
+    inner = [n for n in joined if ", Inner" in n]
+    assert len(inner) >= 2 and all(n.startswith("SortMergeJoin") for n in inner)
+    assert all("LeftOuter" in n for n in joined if n.startswith("Broadcast"))
+
+
 def test_broadcast_only_below_the_bound(spark):
     def hinted(df, max_bytes):
         return "broadcast" in joins.broadcast_if_small(df, max_bytes)._jdf.queryExecution().logical().toString()
