@@ -1,12 +1,15 @@
 """Dense matrices as tables of square tiles, and their product.
 
-A tile is a row (row, col, data): its place in the grid of tiles and its cells,
-row by row, as bytes of doubles. The product deals tiles to output tiles: a tile
-of the left matrix is copied to every output tile of its row, one of the right
-matrix to every output tile of its column. Inner tiles come in stretches of
+A tile is told line by line, so that no row, and no batch of rows, grows with
+the tile or holds zeros: a row (row, col, line, data) is its place in the grid
+of tiles, the line within the tile, and the cells of that line, ``at`` within it.
+The product deals lines to output tiles: a column of a left tile is copied to
+every output tile of its row that its inner place reaches, a line of a right
+tile to every such output tile of its column. Inner places come in stretches of
 bounded depth, each of which is one key. A task streams through its keys in
-order and holds three tiles at a time; products of a stretch are added up where
-they are made, those of different stretches after one more shuffle.
+order, fills panels of one tile's width with the lines it meets, and holds two
+panels and a tile at a time; products of a stretch are added up where they are
+made, those of different stretches after one more shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrella.operators.partitions import keep
@@ -23,109 +26,87 @@ from terrella.operators.partitions import keep
 TILE = 256
 #: Inner tiles of one stretch.
 DEPTH = 64
-_TILES = "row long, col long, data binary"
+
+
+def _line(at: str | Column) -> Column:
+    """The cells of a line, in order."""
+    return F.sort_array(F.collect_list(F.struct(F.col(at).alias("at"), "v")))
 
 
 def to_tiles(cells: DataFrame, row: str, col: str, value: str, tile: int = TILE) -> DataFrame:
     """Tiles of a matrix given by its cells; cells of one place are added, absent and null ones are 0.
 
-    Cells without row or column are left out. Tiles without any cell have no row.
+    Cells without row or column are left out. Lines without any cell have no row.
     """
     at = [F.col(c).cast("long") for c in (row, col)]
     placed = cells.select(at[0].alias("i"), at[1].alias("j"), F.col(value).cast("double").alias("v")).filter(
         "i IS NOT NULL AND j IS NOT NULL"
     )
-    # One cell a place, so that a tile gathers at most tile x tile of them.
+    # One cell a place, so that a line gathers at most as many as the tile is wide.
     summed = placed.groupBy("i", "j").agg(F.coalesce(F.sum("v"), F.lit(0.0)).alias("v"))
     by = [F.floor(F.col(c) / tile).cast("long").alias(n) for c, n in (("i", "row"), ("j", "col"))]
-    inner = [F.pmod(F.col(c), F.lit(tile)).cast("int").alias(c) for c in ("i", "j")]
-
-    def fill(table: pa.Table) -> pa.Table:
-        data = np.zeros((tile, tile))
-        data[table["i"].to_numpy(), table["j"].to_numpy()] = table["v"].to_numpy()
-        return pa.table([table["row"][:1], table["col"][:1], pa.array([data.tobytes()], pa.binary())], ["row", "col", "data"])
-
-    return summed.select(*by, *inner, "v").groupBy("row", "col").applyInArrow(fill, _TILES)
+    inner = [F.pmod(F.col(c), F.lit(tile)).cast("int").alias(n) for c, n in (("i", "line"), ("j", "_at"))]
+    return summed.select(*by, *inner, "v").groupBy("row", "col", "line").agg(_line("_at").alias("data"))
 
 
 def from_tiles(tiles: DataFrame, tile: int = TILE) -> DataFrame:
     """Cells (i, j, v) of tiles that are not 0."""
+    cells = tiles.select((F.col("row") * tile + F.col("line")).alias("i"), "col", F.inline("data"))
+    return cells.select("i", (F.col("col") * tile + F.col("at")).alias("j"), "v").filter("v <> 0")
 
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, col, data in zip(*(c.to_pylist() for c in batch.columns)):
-                found = np.frombuffer(data, np.float64).reshape(tile, tile)
-                i, j = np.nonzero(found)
-                yield pa.RecordBatch.from_arrays([pa.array(row * tile + i), pa.array(col * tile + j), pa.array(found[i, j])], ["i", "j", "v"])
-
-    return tiles.select("row", "col", "data").mapInArrow(cells, "i long, j long, v double")
 
-
-def _added(parts: DataFrame, tile: int) -> DataFrame:
-    """Tiles of one place added up, one at a time."""
-
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, total = None, None
-        for batch in batches:
-            for row, col, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if (row, col) != place:
-                    if place is not None:
-                        yield _tile(place, total)
-                    place, total = (row, col), np.zeros(tile * tile)
-                total += np.frombuffer(data, np.float64)
-        if place is not None:
-            yield _tile(place, total)
-
-    return parts.repartition("row", "col").sortWithinPartitions("row", "col", "stretch").select("row", "col", "data").mapInArrow(over, _TILES)
-
-
-def _tile(place: tuple, data: np.ndarray) -> pa.RecordBatch:
-    cells = [pa.array([place[0]], pa.int64()), pa.array([place[1]], pa.int64()), pa.array([data.tobytes()], pa.binary())]
-    return pa.RecordBatch.from_arrays(cells, ["row", "col", "data"])
+def _panel(lines: pa.ListArray, tile: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lines under each other, without the places that none of them fills, and those places."""
+    cells = lines.flatten()  # of this slice only
+    at, v = (np.asarray(cells.field(n)) for n in ("at", "v"))
+    line = np.repeat(np.arange(len(lines)), np.diff(lines.offsets.to_numpy()))
+    used = np.zeros(tile, bool)
+    used[at] = True
+    panel = np.zeros((len(lines), np.count_nonzero(used)))
+    panel[line, (np.cumsum(used) - 1)[at]] = v
+    return panel, np.flatnonzero(used)
 
 
 def multiply_tiles(a: DataFrame, b: DataFrame, tile: int = TILE, depth: int = DEPTH) -> DataFrame:
-    """Tiles of the product of two tiled matrices; tiles that no pair of tiles reaches have no row.
+    """Tiles of the product of two tiled matrices; lines of zeros have no row.
 
-    ``a`` and ``b`` have one row per place, as :func:`to_tiles` gives them. Each
-    tile is shuffled once per output tile it takes part in.
+    ``a`` and ``b`` have one row per line, as :func:`to_tiles` gives them. Each
+    column of ``a`` and line of ``b`` within a tile is shuffled once per output
+    tile in which it meets one of the other side.
     """
-    # A tile only goes where another meets it.
-    inner_a = a.select(F.col("row").alias("_i"), F.col("col").alias("_k"))
-    inner_b = b.select(F.col("row").alias("_k"), F.col("col").alias("_j"))
-    stretch = F.floor(F.col("_k") / depth).cast("long")
-    left = a.join(inner_b, a["col"] == inner_b["_k"]).select(
-        F.col("row"), F.col("_j").alias("col"), stretch.alias("stretch"), "_k", F.lit(0).alias("side"), "data"
-    )
-    right = b.join(inner_a, b["row"] == inner_a["_k"]).select(
-        F.col("_i").alias("row"), F.col("col"), stretch.alias("stretch"), "_k", F.lit(1).alias("side"), "data"
-    )
+    cells = a.select("row", "col", F.col("line").alias("_line"), F.inline("data"))
+    inner = (F.col("col") * tile + F.col("at")).alias("_k")
+    left = cells.select("row", inner, "_line", "v").groupBy("row", "_k").agg(_line("_line").alias("left"))
+    right = b.select((F.col("row") * tile + F.col("line")).alias("_k"), "col", F.col("data").alias("right"))
+    # Lines are copied by the join, so that neither side may be broadcast by its estimated size.
+    met = left.join(right.hint("merge"), "_k").withColumn("stretch", F.floor(F.col("_k") / (tile * depth)).cast("long"))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total, held = None, None, None
+        key, total = None, None
 
         def told() -> pa.RecordBatch:
-            cells = [pa.array([x], pa.int64()) for x in key] + [pa.array([total.tobytes()], pa.binary())]
-            return pa.RecordBatch.from_arrays(cells, ["row", "col", "stretch", "data"])
+            i, j = np.nonzero(total)
+            columns = [pa.array(key[0] * tile + i), pa.array(key[1] * tile + j), pa.array(total[i, j])]
+            return pa.RecordBatch.from_arrays(columns, ["i", "j", "v"])
 
         for batch in batches:
-            for row, col, part, k, side, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if (row, col, part) != key:
+            keys = np.column_stack([np.asarray(batch[n]) for n in ("row", "col", "stretch")])
+            starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))) if len(keys) else []
+            for start, end in zip(starts, [*starts[1:], len(keys)]):
+                if (found := tuple(keys[start].tolist())) != key:
                     if key is not None:
                         yield told()
-                    key, total = (row, col, part), np.zeros((tile, tile))
-                cells = np.frombuffer(data, np.float64).reshape(tile, tile)
-                if side == 0:
-                    held = cells
-                else:  # the left tile of the same inner place came just before
-                    total += held @ cells
+                    key, total = found, np.zeros((tile, tile))
+                for cut in range(start, end, tile):
+                    some = slice(cut, min(end, cut + tile))
+                    (x, i), (y, j) = (_panel(batch[n][some], tile) for n in ("left", "right"))
+                    total[np.ix_(i, j)] += x.T @ y
         if key is not None:
             yield told()
 
-    order = ["row", "col", "stretch", "_k", "side"]
-    dealt = left.unionByName(right).repartition("row", "col", "stretch").sortWithinPartitions(*order)
-    parts = dealt.mapInArrow(over, "row long, col long, stretch long, data binary")
-    return _added(parts, tile)
+    keyed = met.select("row", "col", "stretch", "_k", "left", "right").repartition("row", "col", "stretch")
+    dealt = keyed.sortWithinPartitions("row", "col", "stretch", "_k")
+    return to_tiles(dealt.mapInArrow(over, "i long, j long, v double"), "i", "j", "v", tile)
 
 
 def matmul_blocks(a: DataFrame, b: DataFrame, tile: int = TILE, depth: int = DEPTH) -> DataFrame:

@@ -44,6 +44,15 @@ def test_one_long_inner_dimension_is_cut_into_stretches(spark):
     assert matrix.from_tiles(product, 10).collect() == [(0, 0, 1000.0)]
 
 
+def test_rows_of_a_tiled_matrix_hold_its_cells_only(spark):
+    # A tile each 64 places along the diagonal has few cells, one full tile has all.
+    few = spark.range(0, 6400, 64).select(F.col("id").alias("i"), F.col("id").alias("j"), F.lit(2.0).alias("v"))
+    full = spark.range(64 * 64).select((F.col("id") % 64 + 6400).alias("i"), F.floor(F.col("id") / 64).alias("j"), F.lit(3.0).alias("v"))
+    tiles = matrix.to_tiles(few.union(full), "i", "j", "v", tile=64)
+    assert tiles.select(F.sum(F.size("data")), F.max(F.size("data"))).first() == (100 + 64 * 64, 64)
+    assert sorted(map(tuple, matrix.from_tiles(tiles, 64).collect())) == sorted(map(tuple, few.union(full).collect()))
+
+
 # Neighbours in passes
 
 
