@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,8 @@ from terrella.operators.partitions import keep
 
 #: Queries are shipped to the tasks when their vectors take at most this many bytes.
 QUERY_BYTES = 64 << 20
+#: Passes run side by side, in one job, when their queries take at most this many bytes together.
+ROUND_BYTES = 16 << 20
 #: Queries per block otherwise.
 QUERY_BLOCK = 4096
 #: Index rows per block when both sides are blocked.
@@ -59,9 +62,10 @@ class _Best:
         if len(ids) > self.k and np.count_nonzero(near) > 16 * self.k * len(rough):
             bound = np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]
             near &= rough <= (bound + slack)[:, None]
-        query, row = np.nonzero(near)
-        if len(query) == 0:
+        found = np.flatnonzero(near)  # far faster than by two axes
+        if len(found) == 0:
             return
+        query, row = np.divmod(found, len(ids))
         query = np.arange(len(self.ids))[asked][query]
         gaps = vectors[row] - self.vectors[query]
         self._merge(query, ids[row], np.sqrt((gaps * gaps).sum(axis=1)))
@@ -115,7 +119,8 @@ class _PrunedSearch(_Search):
     Rows of a batch are split into cells around a few of its own rows. By the
     triangle inequality no row of a cell is nearer to a query than the query's
     distance to the pivot less the cell's radius; a cell is skipped by queries
-    whose k-th best is nearer than that. ``met`` and ``skipped`` count pairs of query and cell.
+    whose k-th best is nearer than that. Where that would leave most pairs in, the rows are met as a whole.
+    ``met`` and ``skipped`` count pairs of query and cell.
     """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, cells: int):
@@ -129,20 +134,27 @@ class _PrunedSearch(_Search):
             cell, gap = nearest_pivot(rows, pivots)
             members = [np.flatnonzero(cell == c) for c in range(len(pivots))]
             radius = np.array([gap[m].max(initial=0.0) for m in members])
+            near = [rows[m] for m in members]
+            norms = [(n * n).sum(axis=1) for n in near]
+            wide = [np.column_stack([n, s, np.ones(len(n))]).T for n, s in zip(near, norms)]
+            sizes = np.array([len(m) for m in members])
+            whole = (rows * rows).sum(axis=1)
+            all_wide = np.column_stack([rows, whole, np.ones(len(some))]).T
             for part in self.parts:
                 apart = np.sqrt(((part.vectors[:, None, :] - pivots[None]) ** 2).sum(axis=2))
                 lowest = np.maximum(apart - radius, 0.0) * (1 - 1e-9)
+                if np.isfinite(part.limit).all() and 2 * ((lowest**2 <= part.limit[:, None]) @ sizes).sum() > len(lowest) * len(rows):
+                    self.met += lowest.size
+                    part.add(some, rows, whole, all_wide)
+                    continue
                 # Nearest cells first, as they bring the limit down.
                 for c in np.argsort(lowest.min(axis=0), kind="stable"):
                     if not len(members[c]):
                         continue
                     asked = np.flatnonzero(lowest[:, c] ** 2 <= part.limit)
                     self.met, self.skipped = self.met + len(lowest), self.skipped + len(lowest) - len(asked)
-                    if not len(asked):
-                        continue
-                    near = rows[members[c]]
-                    norms = (near * near).sum(axis=1)
-                    part.add(some[members[c]], near, norms, np.column_stack([near, norms, np.ones(len(near))]).T, asked)
+                    if len(asked):
+                        part.add(some[members[c]], near[c], norms[c], wide[c], asked)
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -219,40 +231,53 @@ def k_nearest_in_passes(
     pass_bytes: int = QUERY_BYTES,
     cells: int = 16,
 ) -> DataFrame:
-    """The same as :func:`k_nearest` for many queries: the index stays where it is and is read once per pass.
+    """The same as :func:`k_nearest` for many queries: the index stays where it is and is read by every pass.
 
-    A pass ships queries of about ``pass_bytes`` to the tasks, each of which keeps a running top k
-    and prunes its rows by cells around pivots; its result is written to the
-    shared folder, so that a pass that is done is not run again. Pruning helps
+    A pass has queries of about ``pass_bytes``. As many passes as :data:`ROUND_BYTES` holds make a round, which is one
+    job: its passes are dealt to as many scans of the index as there are cores, so that they run side by side however
+    few files the index has. A task keeps a running top k of its scan's queries
+    and prunes its rows by cells around pivots; a round's result is written to the
+    shared folder, so that a round that is done is not run again. Pruning helps
     most where rows of one file are alike, as :func:`near_each_other` lays them.
     """
     index, queries = _as_vectors(index, id_column, vector), _as_vectors(queries, id_column, vector)
     rows, width = queries.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     passes = max(1, math.ceil(rows * width * 8 / pass_bytes))
+    together = max(1, ROUND_BYTES // pass_bytes)
     context = index.sparkSession.sparkContext
     numbered = queries.withColumn("_pass", F.pmod(F.xxhash64("id"), F.lit(passes)))
     found = None
-    for number in range(passes):
-        table = numbered.filter(F.col("_pass") == number).drop("_pass").toArrow()
+    for first in range(0, passes, together):
+        last = min(passes, first + together) - 1
+        table = numbered.filter(F.col("_pass").between(first, last)).toArrow()
         if not table.num_rows:
             continue
-        shipped = context.broadcast((_ids(table["id"]), _matrix(table["v"])))
-
-        def scan(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            best = _PrunedSearch(*shipped.value, k, cells)
-            for batch in batches:
-                if batch.num_rows:
-                    best.add(_ids(batch["id"]), _matrix(batch["v"]))
-            yield pa.RecordBatch.from_arrays(best.columns(), _NAMES)
-
-        done = keep(_ranked(index.mapInArrow(scan, _CANDIDATES), k), "knn-pass")
-        shipped.destroy()
+        scans = min(last + 1 - first, context.defaultParallelism)
+        share, ids, vectors = _ids(table["_pass"]) % scans, _ids(table["id"]), _matrix(table["v"])
+        shipped = [context.broadcast((ids[share == s], vectors[share == s])) for s in np.unique(share)]
+        candidates = reduce(DataFrame.unionByName, [index.mapInArrow(_pruned_scan(some, k, cells), _CANDIDATES) for some in shipped])
+        done = keep(_ranked(candidates, k), "knn-round")
+        for some in shipped:
+            some.destroy()
         found = done if found is None else found.unionByName(done)
     if found is None:
         found = _ranked(index.sparkSession.createDataFrame([], _CANDIDATES), k)
     return found
 
 
+def _pruned_scan(shipped, k: int, cells: int):
+    """A function on the batches of a partition that finds the best of its rows for the shipped queries."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = _PrunedSearch(*shipped.value, k, cells)
+        for batch in batches:
+            if batch.num_rows:
+                best.add(_ids(batch["id"]), _matrix(batch["v"]))
+        yield pa.RecordBatch.from_arrays(best.columns(), _NAMES)
+
+    return scan
+
+
 def near_each_other(index: DataFrame, vector: str = "embedding", pivots: int = 256, seed: int = 17) -> DataFrame:
     """An index laid out so that near vectors share a partition: a shuffle to pay once, before it is written.
 

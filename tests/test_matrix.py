@@ -89,6 +89,28 @@ def test_the_index_is_not_shuffled(spark, points, monkeypatch):
     assert below.count("Exchange") <= 1  # the test's own repartition
 
 
+def test_passes_run_side_by_side(spark, points, monkeypatch):
+    index, queries = vectors(spark, points), vectors(spark, points[:100])
+    plans = []
+    kept = knn.keep
+    monkeypatch.setattr(knn, "keep", lambda frame, label: plans.append(frame._jdf.queryExecution().toString()) or kept(frame, label))
+    monkeypatch.setattr(knn, "ROUND_BYTES", 10 * 400)
+    got = knn.k_nearest_in_passes(index, queries, 3, pass_bytes=400).collect()  # ten passes
+    assert len(plans) == 1 and plans[0].split("== Physical Plan ==")[1].count("MapInArrow") == spark.sparkContext.defaultParallelism
+    key = lambda r: (r["query_id"], r["rank"])
+    assert sorted(got, key=key) == sorted(knn.k_nearest(index, queries, 3).collect(), key=key)
+
+
+def test_cells_met_as_a_whole_give_the_same(points, monkeypatch):
+    monkeypatch.setattr(knn, "_TILE_ROWS", 64)
+    wide = np.random.default_rng(7).normal(size=(900, 40))  # no cell is far from any query
+    for rows in (points, wide):
+        pruned, plain = knn._PrunedSearch(np.arange(150), rows[:150], 5, 16), knn._Search(np.arange(150), rows[:150], 5)
+        for search in (pruned, plain):
+            search.add(np.arange(len(rows)), rows)
+        assert all(a.equals(b) for a, b in zip(pruned.columns(), plain.columns()))
+
+
 def test_far_cells_are_skipped(points):
     order = np.argsort(knn.nearest_pivot(points, points[:30])[0], kind="stable")
     search = knn._PrunedSearch(np.arange(20), points[:20], 3, 16)
